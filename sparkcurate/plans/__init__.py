@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-_CATALOGUE = ["catalog_quality", "catalog_cluster"]
+_CATALOGUE = ["catalog_quality", "catalog_cluster", "catalog_assembly"]
 
 
 def _load() -> None:
