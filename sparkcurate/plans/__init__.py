@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES
 
-_CATALOGUE = ["catalog_quality", "catalog_cluster", "catalog_assembly"]
+_CATALOGUE = ["catalog_quality", "catalog_cluster", "catalog_assembly", "catalog_taxonomy", "catalog_report"]
 
 
 def _load() -> None:

@@ -9,7 +9,6 @@ from ..functions.text import charset_name
 from ..operators import cluster, concat, markers
 from ..operators.qc import drop_length_outliers, outlier_counts
 from ..operators.settings import marker_violations
-from ..sources.dimensions import marker_presets
 from .assemble import select_genomes
 from .catalog_quality import quota_sql
 from .cluster_sql import absorb_sql, adaptive_sql, ctes
@@ -127,7 +126,7 @@ def _d9(spark, folder):
         k AS (SELECT family, count(*) AS n_genomes_kept, count(*) FILTER (WHERE genome_id LIKE 'NC!_%' ESCAPE '!') AS n_protected_kept FROM cover WHERE kept GROUP BY family)
         SELECT family, n_proteins, n_orphans, n_genomes_found, n_required, coalesce(n_genomes_kept, 0) AS n_genomes_kept,
                coalesce(n_protected_kept, 0) AS n_protected_kept, coalesce(n_split, 0) AS n_split, n_genomes_found - coalesce(n_genomes_kept, 0) AS n_dropped
-        FROM b LEFT JOIN need USING (family) LEFT JOIN k USING (family) LEFT JOIN split USING (family)""".replace("n_markers, CAST", "n_markers, CAST"),
+        FROM b LEFT JOIN need USING (family) LEFT JOIN k USING (family) LEFT JOIN split USING (family)""",
 )
 def _d8(spark, folder):
     prots = proteins(spark, folder)
@@ -350,18 +349,3 @@ def _b16(spark, folder):
         "family", (F.col("n_required") / F.lit(8.0) * 5).alias("min_fraction")
     )
     return marker_violations(specs, wanted)
-
-
-@query(
-    "a13_preset_matches",
-    None,
-)
-def _a13(spark, folder):
-    # every document mentioning a preset marker name, per family of the preset
-    docs = table(spark, folder, "documents").select("doc_id", F.lower("text").alias("low"))
-    names = marker_presets(spark).groupBy("family").agg(F.collect_set(F.lower("name")).alias("names"))
-    folded = names.groupBy("names").agg(F.sort_array(F.collect_list("family")).alias("families"))
-    entry = folded.agg(F.collect_list(F.struct("families", "names")).alias("sets"))
-    joined = docs.join(entry, F.lit(True))
-    hit = F.filter("sets", lambda s: F.exists(s["names"], lambda n: F.contains(F.col("low"), n)))
-    return joined.select("doc_id", F.explode(hit).alias("s")).select("doc_id", F.explode("s.families").alias("family"))

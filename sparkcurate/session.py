@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +46,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, used between the rounds of iterative operators."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name beside the checkpoints, for tables written and read back."""
+    return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"

@@ -27,7 +27,7 @@ def _feature(text: Column) -> Column:
     pairs = F.arrays_zip(keys.alias("k"), values.alias("v"))
     names = F.array_distinct(keys)
     grouped = F.transform(
-        names, lambda n: F.transform(F.filter(pairs, lambda p: p["0"] == n), lambda p: p["1"])
+        names, lambda n: F.transform(F.filter(pairs, lambda p: p["k"] == n), lambda p: p["v"])
     )
     return F.struct(F.regexp_extract(text, r"^\s*(\S+)", 1).alias("type"), F.map_from_arrays(names, grouped).alias("qualifiers"))
 
