@@ -23,6 +23,17 @@ def as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy row work on a scan of few splits; larger scans stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def spread_rows(df: DataFrame, rows: int, few: int = 200_000) -> DataFrame:
+    """The same for a join result known to be small in rows; otherwise adaptive execution decides."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if rows <= few else df
+
+
 def first_k(
     df: DataFrame,
     keys: str | Sequence[str],
