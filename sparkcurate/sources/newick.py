@@ -47,7 +47,7 @@ def _node_rows(text: str) -> list[list]:
             nodes[here][2] = float(token)
         else:
             label = token[1:-1].replace("''", "'") if token.startswith("'") else token
-            nodes[here][1] = label
+            nodes[here][1] = label if nodes[here][1] is None else f"{nodes[here][1]} {label}"
         after_colon = False
     if here != 0 or (len(nodes) == 1 and nodes[0][1] is None):
         raise ValueError("no complete tree")
