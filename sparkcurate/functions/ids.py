@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,18 +22,29 @@ def length_floor(molecule: str) -> int:
     return FLOOR_NUCLEOTIDE if molecule == "nucleotide" else FLOOR_PROTEIN
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once and use it several times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def mentions_any(fields: Sequence[Column], terms: Iterable[str]) -> Column:
     """Any term inside any field, case-insensitive; fields cannot match across their border."""
     text = F.lower(F.concat_ws("\n", *[F.coalesce(f, F.lit("")) for f in fields]))
-    hit = F.lit(False)
-    for term in terms:
-        hit = hit | F.contains(text, F.lit(term.lower()))
-    return hit
+    wanted = [term.lower() for term in terms]
+
+    def hit(low: Column) -> Column:
+        out = F.lit(False)
+        for term in wanted:
+            out = out | F.contains(low, F.lit(term))
+        return out
+
+    return bound(text, hit) if wanted else F.lit(False)
 
 
 def ambiguous_fraction(seq: Column, codes: str) -> Column:
-    kept = F.translate(F.upper(seq), codes, "")
-    return (F.length(seq) - F.length(kept)) / F.greatest(F.length(seq), F.lit(1))
+    """Share of ambiguity codes, in either case."""
+    both = "".join(dict.fromkeys(codes.upper() + codes.lower()))
+    return (F.length(seq) - F.length(F.translate(seq, both, ""))) / F.greatest(F.length(seq), F.lit(1))
 
 
 def mentions(field: Column, keyword: Column | str) -> Column:

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.ids import is_protected_id
+from .scale import small_side
 
 Matcher = Callable[[Column, Column], Column]
 
@@ -34,8 +36,8 @@ def effective_names(subfamily: Column) -> Column:
 
 
 def contains_a_name(text: Column, names: Column) -> Column:
-    low = F.lower(text)
-    return F.exists(names, lambda n: (F.length(n) > 0) & F.contains(low, F.lower(n)))
+    """Both sides are in lower case already."""
+    return F.exists(names, lambda n: (F.length(n) > 0) & F.contains(text, n))
 
 
 def match_markers(proteins: DataFrame, markers: DataFrame, matcher: Matcher = contains_a_name) -> DataFrame:
@@ -43,9 +45,17 @@ def match_markers(proteins: DataFrame, markers: DataFrame, matcher: Matcher = co
 
     proteins: family, genome_id, accession, text, length, locus_tag, subfamily, ...
     markers: family, marker_order, name, aliases, sub_aliases, len_min, len_max, locus_tag_hint.
+    The matcher gets texts and names in lower case, prepared once per row of each side.
     """
-    joined = proteins.join(markers, "family")
-    return joined.filter(matcher(F.col("text"), effective_names(F.col("subfamily"))))
+    subfamilies = proteins.select("family", "subfamily").distinct()
+    by_subfamily = subfamilies.join(markers, "family").withColumn(
+        "__names", F.transform(effective_names(F.col("subfamily")), F.lower)
+    )
+    by_subfamily = small_side(by_subfamily.withColumnsRenamed({"family": "__family", "subfamily": "__subfamily"}))
+    same = F.col("family").eqNullSafe(F.col("__family")) & F.col("subfamily").eqNullSafe(F.col("__subfamily"))
+    joined = proteins.withColumn("__low", F.lower("text")).join(by_subfamily, same)
+    matched = joined.filter(matcher(F.col("__low"), F.col("__names")))
+    return matched.drop("__low", "__names", "__family", "__subfamily")
 
 
 def choose_proteins(matched: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -94,8 +104,12 @@ def assemble(
     """Chosen proteins of the genomes that cover enough markers."""
     with_source = proteins.filter(F.length("genome_id") > 0)
     chosen = identify_markers(with_source, markers, matcher, keep)
-    good = covered_genomes(chosen, markers, min_fraction).filter("kept").select("family", "genome_id")
-    return chosen.join(good, ["family", "genome_id"], "left_semi")
+    # at most one row per marker is left in a genome, so this window is bounded
+    covered = F.count(F.lit(1)).over(W.partitionBy("family", "genome_id"))
+    needed = small_side(required_markers(markers, min_fraction).select("family", "n_required"))
+    return (
+        chosen.withColumn("__n", covered).join(needed, "family").filter(F.col("__n") >= F.col("n_required")).select(*chosen.columns)
+    )
 
 
 def split_submissions(proteins: DataFrame, group: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import ambiguity_codes, ambiguous_fraction, length_floor, mentions_any
-from .scale import _rank_values, as_list, exact_median, keep_first, median_of
+from .scale import _rank_values, as_list, attach_groups, exact_median, keep_first, median_of, small_side
 
 # Shares of the median tried in turn, and the default exclusion terms.
 MEDIAN_SHARES = (0.5, 0.4, 0.3)
@@ -118,7 +118,7 @@ def assign_reason_checked(
         )
     else:
         ladder = adaptive_minimum(checked, group, length, rules)
-        checked = checked.join(ladder.drop("median_length"), group, "left")
+        checked = attach_groups(checked, ladder.drop("median_length"), group)
     reason = (
         F.when(F.col("excluded"), "excluded_organism")
         .when(F.col("undefined"), "undefined")
@@ -166,7 +166,7 @@ def small_groups(
 
 
 def without_groups(df: DataFrame, skipped: DataFrame, group: str | Sequence[str]) -> DataFrame:
-    return df.join(skipped, as_list(group), "left_anti")
+    return df.join(small_side(skipped), as_list(group), "left_anti")
 
 
 def flag_length_outliers(
@@ -190,7 +190,7 @@ def flag_length_outliers(
     too_short = active & (x < m * F.lit(low)) if low and low > 0 else F.lit(False)
     side = F.when(too_long, "long").when(too_short, "short")
     flag = F.when(F.col(protected), F.concat(F.lit("kept_"), side)).otherwise(side)
-    return df.join(med, group, "left").withColumn("outlier", flag)
+    return attach_groups(df, med, group).withColumn("outlier", flag)
 
 
 def drop_length_outliers(flagged: DataFrame) -> DataFrame:

@@ -13,18 +13,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Above this limit Spark's own pre-shuffle group limit is switched off
 # (default of spark.sql.optimizer.windowGroupLimitThreshold).
 GROUP_LIMIT = 1000
 SALTS = 64
+# Groups whose statistics may be broadcast; a row is a key and a few numbers.
+BROADCAST_ROWS = 100_000
 
 
 def as_list(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def small_side(df: DataFrame, written: bool = False) -> DataFrame:
+    """A join side with one narrow row per group, broadcast when its counted size allows.
+
+    It is written once (unless it already is) and counted. Up to BROADCAST_ROWS rows
+    it is broadcast, so the large side is not shuffled on a key that may be hot;
+    beyond that the join is an ordinary one, whose hot partitions adaptive execution
+    splits.
+    """
+    df = df if written else cut_lineage(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def attach_groups(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Add the statistics of its group to every row of a large table."""
+    return df.join(small_side(stats), list(keys), how)
+
+
 def spread_scan(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy row work on a scan of few splits; larger scans stay as they are."""
+    """Use all cores for heavy row work on a plain scan of few splits; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scale import as_list, median_of, ranked_histogram, value_at
+from .scale import as_list, attach_groups, median_of, ranked_histogram, value_at
 
 
 def exclusive_quartile(i: int, value: str) -> Column:
@@ -102,7 +102,7 @@ def histogram(
             F.when(flat, F.col("__hi") + 0.5).otherwise(F.col("__hi")).alias("__hi"),
             count.cast("int").alias("__bins"),
         )
-        shaped = df.join(ranges, keys)
+        shaped = attach_groups(df, ranges, keys, "inner")
     width = (F.col("__hi") - F.col("__lo")) / F.col("__bins")
     slot = F.least(F.floor((x - F.col("__lo")) / width) + 1, F.col("__bins")).cast("int")
     return (
