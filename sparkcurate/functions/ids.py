@@ -44,7 +44,7 @@ def mentions_any(fields: Sequence[Column], terms: Iterable[str]) -> Column:
 def ambiguous_fraction(seq: Column, codes: str) -> Column:
     """Share of ambiguity codes, in either case."""
     both = "".join(dict.fromkeys(codes.upper() + codes.lower()))
-    return (F.length(seq) - F.length(F.translate(seq, both, ""))) / F.greatest(F.length(seq), F.lit(1))
+    return F.regexp_count(seq, F.lit(f"[\\Q{both}\\E]")) / F.greatest(F.length(seq), F.lit(1))
 
 
 def mentions(field: Column, keyword: Column | str) -> Column:
