@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import mixing, quality, sharding, simhash, tokens
+from . import mixing, quality, sharding, simhash, tokens, toxicity
+from .common import Scratch
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +27,15 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.reject_outliers(docs, ["doc_id"])
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(~toxicity.held_out())
+    rules = toxicity.ToxicityRules()
+    model = toxicity.train(docs, labels, rules, Scratch(spark))
+    scored = toxicity.score_documents(docs, ["doc_id"], model, rules)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cache = f"{scratch_folder(spark)}/token-cache"
@@ -46,6 +56,7 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
+    "op3_toxicity": op3_toxicity,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
