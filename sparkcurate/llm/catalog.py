@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import mixing, quality, sharding, simhash, tokens, toxicity
+from . import decontamination, mixing, quality, sharding, simhash, tokens, toxicity
 from .common import Scratch
 
 
@@ -36,6 +36,12 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    return decontamination.find_leaks(docs, items, ["doc_id"])
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cache = f"{scratch_folder(spark)}/token-cache"
@@ -57,6 +63,7 @@ QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
