@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import decontamination, mixing, quality, sharding, simhash, tokens, toxicity
+from . import decontamination, mixing, quality, revisits, sharding, simhash, tokens, toxicity
 from .common import Scratch
 
 
@@ -42,6 +42,84 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.find_leaks(docs, items, ["doc_id"])
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """pages as archive records: each page is a full response, and a later crawl of it finds it not modified.
+
+    The later crawl comes up to 5,000 pages after, so another capture of the same canonical URL may lie
+    between. One crawl in five knows no entity tag but the modification date.
+    """
+    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    day = F.concat(F.lit("day "), (F.col("page_id") % 50).cast("string"))
+    response = pages.select(
+        (2 * F.col("page_id")).alias("record_id"), "url", (2 * F.col("page_id")).alias("captured_at"),
+        F.lit(200).alias("status"),
+        F.create_map(F.lit("ETag"), tag, F.lit("Last-Modified"), day, F.lit("Content-Type"), F.lit("text/html"),
+                     F.lit("Date"), (2 * F.col("page_id")).cast("string")).alias("headers"),
+        F.md5(F.coalesce("html", F.lit(""))).alias("payload_digest"))
+    later = 2 * F.col("page_id") + 1 + 2 * (F.col("page_id") * 37 % 5000)
+    with_tag = F.create_map(F.lit("etag"), F.concat(F.lit("W/"), tag), F.lit("date"), later.cast("string"),
+                            F.lit("content-type"), F.lit("none"))
+    with_day = F.create_map(F.lit("last-modified"), day, F.lit("date"), later.cast("string"))
+    revisit = pages.select(
+        (2 * F.col("page_id") + 1).alias("record_id"), "url", later.alias("captured_at"), F.lit(304).alias("status"),
+        F.when(F.col("page_id") % 5 == 0, with_day).otherwise(with_tag).alias("headers"),
+        F.lit(None).cast("string").alias("payload_digest"))
+    return response.unionByName(revisit)
+
+
+def op5_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = revisits.resolve_revisits(captures(pages))
+    return found.select(
+        "record_id", "canonical_url", "captured_at", "response_id", "verdict",
+        F.col("headers")["etag"].alias("etag"), F.col("headers")["last-modified"].alias("last_modified"),
+        F.col("headers")["content-type"].alias("content_type"), F.col("headers")["date"].alias("date"),
+        "payload_digest")
+
+
+OP5_SQL = r"""
+WITH parts AS (
+  SELECT page_id, html, trim(url) AS url,
+         regexp_replace(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '#.*$', '') AS bare
+  FROM pages),
+cut AS (
+  SELECT page_id, html, url,
+         regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^.*@', ''),
+                                       ':(80|443)$', ''), '^www\.', '') AS host,
+         regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+           lambda p: p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(=|$)'))), '&') AS query
+  FROM parts),
+canon AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         CASE WHEN length(url) > 0 THEN host || path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS curl
+  FROM cut),
+responses AS (
+  SELECT 2 * page_id AS id, curl, 2 * page_id AS ts, '"' || md5(html) || '"' AS tag, 'day ' || (page_id % 50) AS day,
+         md5(html) AS digest
+  FROM canon WHERE curl IS NOT NULL),
+revisits AS (
+  SELECT 2 * page_id + 1 AS id, curl, 2 * page_id + 1 + 2 * (page_id * 37 % 5000) AS ts,
+         CASE WHEN page_id % 5 <> 0 THEN '"' || md5(html) || '"' END AS tag,
+         CASE WHEN page_id % 5 = 0 THEN 'day ' || (page_id % 50) END AS day
+  FROM canon),
+latest AS (
+  SELECT v.id AS vid, max(struct_pack(ts := r.ts, id := r.id, tag := r.tag, day := r.day, digest := r.digest)) AS r
+  FROM revisits v JOIN responses r ON v.curl = r.curl AND r.ts < v.ts GROUP BY v.id),
+judged AS (
+  SELECT v.*, l.r AS r,
+         CASE WHEN l.r IS NULL THEN 'no response'
+              WHEN coalesce(v.tag = l.r.tag, v.day = l.r.day) THEN 'resolved' ELSE 'mismatch' END AS verdict
+  FROM revisits v LEFT JOIN latest l ON v.id = l.vid)
+SELECT id AS record_id, curl AS canonical_url, ts AS captured_at, r.id AS response_id, verdict,
+       CASE WHEN tag IS NOT NULL THEN 'W/' || tag WHEN verdict = 'resolved' THEN r.tag END AS etag,
+       CASE WHEN day IS NOT NULL THEN day WHEN verdict = 'resolved' THEN r.day END AS last_modified,
+       CASE WHEN verdict = 'resolved' THEN 'text/html' WHEN tag IS NOT NULL THEN 'none' END AS content_type,
+       CAST(ts AS VARCHAR) AS date,
+       CASE WHEN verdict = 'resolved' THEN r.digest END AS payload_digest
+FROM judged"""
+
+
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     cache = f"{scratch_folder(spark)}/token-cache"
@@ -64,9 +142,10 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_decontamination": op4_decontamination,
+    "op5_revisits": op5_revisits,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_revisits": OP5_SQL}
