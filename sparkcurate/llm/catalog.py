@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import decontamination, mixing, quality, revisits, sharding, simhash, tokens, toxicity
+from . import decontamination, mixing, phrases, quality, revisits, sharding, simhash, suffixes, tokens, toxicity
 from .common import Scratch
 
 
@@ -132,11 +132,19 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(docs, ["doc_id"], ["doc_id"])
 
 
+def op8_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.remove_phrases(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, "doc_id", shingle=3, bits=2)
 
 
+def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -145,7 +153,9 @@ QUERIES = {
     "op5_revisits": op5_revisits,
     "op6_token_counts": op6_token_counts,
     "op7_mixing": op7_mixing,
+    "op8_phrases": op8_phrases,
     "op9_simhash": op9_simhash,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLES: dict[str, str] = {"op5_revisits": OP5_SQL}
