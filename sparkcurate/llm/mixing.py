@@ -165,3 +165,22 @@ def mix_sources(docs: DataFrame, keep: list[str], order: list[str], seed: int =
     full = chosen.join(side, F.col("source").eqNullSafe(F.col("t")))
     return full.select(*(F.col(n).alias(c) for c, n in names.items()), "size", "source_size", "target",
                        F.col("taken").cast("bigint").alias("taken"))
+
+
+def mix_rows(docs: DataFrame, id_column: str = "doc_id", seed: int = 42, text: str = "text") -> DataFrame:
+    """docs as the mix holds them: each row as often as the mix takes it; rows without words stay once.
+
+    Equal rows (id, text and source) are planned one by one and share what the plan takes of them.
+    """
+    scratch = Scratch(docs.sparkSession)
+    key = F.md5(F.to_json(F.struct(
+        F.col(id_column).cast("string").alias("i"), F.col("source").cast("string").alias("s"),
+        F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("t"))))
+    keyed = docs.withColumn("__key", key)
+    plan = mix_sources(keyed.select("__key", text, "source"), ["__key"], ["__key"], seed)
+    times = F.when(F.col("size") == 0, 1).otherwise(F.col("taken") / F.greatest("size", F.lit(1))).cast("bigint")
+    copies = plan.groupBy("__key").agg(F.sum(times).alias("__times")).filter("__times > 0")
+    copies = scratch.store(copies)
+    once = keyed.dropDuplicates(["__key"]).join(copies, "__key")
+    return once.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("bigint"), "__times"))).select(
+        *(F.col(f"`{c}`") for c in docs.columns))

@@ -189,3 +189,14 @@ def shard_documents(docs: DataFrame, keep: list[str], order: list[str], shards:
     by = [*(f"__order{i}" for i in range(len(order))), "text_crc32"]
     numbered = number_slots(in_shards, by, n_rows)
     return numbered.select(*(F.col(n).alias(c) for c, n in names.items()), "size", "text_crc32", "shard", "slot")
+
+
+def assign_shards(docs: DataFrame, shards: int = 16, text: str = "text") -> DataFrame:
+    """docs with a column `shard`; the texts are shuffled once, by their digest."""
+    scratch = Scratch(docs.sparkSession)
+    size = (F.octet_length(text_or_empty(text)) + 1).cast("bigint")
+    groups = scratch.store(docs.select(text_digest(text).alias("digest"), size.alias("size")).groupBy("digest").agg(
+        F.sum("size").cast("bigint").alias("bytes")))
+    placed = pack_groups(groups, shards, scratch).withColumnsRenamed({"digest": "__digest", "shard": "__shard"})
+    joined = docs.withColumn("__digest", text_digest(text)).join(scratch.store(placed), "__digest")
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("__shard").alias("shard"))
