@@ -93,7 +93,7 @@ def close_links(values: DataFrame, bits: int, scratch: Scratch, bucket_rows: int
         F.struct(F.lit(i).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
         for i, m in enumerate(block_masks(bits, spare))))
     keyed = scratch.store(values.select("fp", F.explode(keys).alias("k")).select("k.table", "k.key", "fp"))
-    sizes = keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = scratch.store(keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     placed = scratch.store(keyed.join(sizes, ["table", "key"]))
     few = placed.filter(F.col("n") <= bucket_rows)
     left = few.select("table", "key", F.col("fp").alias("a"))

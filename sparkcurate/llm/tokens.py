@@ -23,7 +23,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_digest, text_or_empty
+from .common import Scratch, slices, text_digest, text_or_empty
 
 CACHE_SCHEMA = "digest binary, n_tokens bigint, version string"
 
@@ -96,7 +96,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, text: str = "text"
     misses = distinct if known is None else distinct.join(known, "digest", "left_anti")
     encoded = misses.mapInArrow(_encoder(tokenizer), "digest binary, n_tokens bigint")
     encoded.withColumn("version", F.lit(version)).write.mode("append").partitionBy("version").parquet(cache)
-    counts = read_cache(spark, cache, version).withColumnsRenamed({"digest": "__digest", "n_tokens": "__n_tokens"})
+    # Stored, so that the join reads both sides from a shuffle and can split the digest of a hot text.
+    counts = Scratch(spark).store(read_cache(spark, cache, version)).withColumnsRenamed({"digest": "__digest", "n_tokens": "__n_tokens"})
     keyed = docs.withColumns({
         "__digest": text_digest(text),
         "n_bytes": F.octet_length(text_or_empty(text)).cast("bigint"),
