@@ -26,27 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
-from .recurrence import Scheme, find_blocks, prepared, ranges_of, windows_in_parts
+from .recurrence import Scheme, find_blocks, prepared, range_arrays, ranges_of, runs_of, windows_in_parts
 
 GRAM = 6
 
 
-def _merged(ranges: list[dict]) -> list[tuple[int, int]]:
-    """Runs of consecutive window starts."""
-    runs: list[list[int]] = []
-    for first, last in sorted((r["first"], r["last"]) for r in ranges):
-        if runs and first <= runs[-1][1] + 1:
-            runs[-1][1] = max(runs[-1][1], last)
-        else:
-            runs.append([first, last])
-    return [(a, b) for a, b in runs]
-
-
-def automaton(texts: list[tuple[int, ...]], ranges: list[list[dict]], length: int):
+def automaton(texts: list[tuple[int, ...]], ranges: list[tuple[np.ndarray, np.ndarray]], length: int):
     """All confirmed passages of a shard as one automaton over word numbers; None if there are none."""
     machine = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
     for words, own in zip(texts, ranges):
-        for first, last in _merged(own):
+        for first, last in zip(*(x.tolist() for x in runs_of(*own))):
             for start in {*range(first, last + 1, length), last}:
                 machine.add_word(words[start : start + length])
     if not len(machine):
@@ -69,13 +58,12 @@ def _columns(batch: pa.RecordBatch, keep: list[str], rows: list[tuple[int, int,
 def _locate(keep: list[str], length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, ranges = [], range_arrays(batch.column("ranges"))
             for start, piece in slices(batch.column("__text")):
                 numbers: dict[bytes, int] = {}
                 words = [t.split() for t in piece]
                 coded = [tuple(numbers.setdefault(w, len(numbers)) for w in ws) for ws in words]
-                own = [batch.column("ranges")[start + i].as_py() or [] for i in range(len(piece))]
-                machine = automaton(coded, own, length)
+                machine = automaton(coded, ranges[start : start + len(piece)], length)
                 for ws, code in zip(words, coded):
                     edges = np.zeros(len(ws) + 1, np.int64)
                     if machine is not None and code:

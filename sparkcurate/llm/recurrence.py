@@ -223,31 +223,48 @@ def _single_windows(scheme: Scheme):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(scheme)
         for batch in batches:
-            wanted = batch.column("wanted")
+            wanted = range_arrays(batch.column("wanted"), "n")
             for start, piece in slices(batch.column("__text")):
                 for i, text in enumerate(piece):
                     units = speller.units(text)
-                    rows = wanted[start + i].as_py()
-                    for low in range(0, len(rows), 4096):
-                        part = rows[low : low + 4096]
-                        firsts, weights, his, los = [], [], [], []
-                        for r in part:
-                            cut = units[r["first"] : r["last"] + scheme.length]
-                            spans, at = Spans(cut), np.arange(r["last"] - r["first"] + 1)
-                            his.append(spans.lane(0, at, at + scheme.length))
-                            los.append(spans.lane(1, at, at + scheme.length))
-                            firsts.append(at + r["first"])
-                            weights.append(np.full(len(at), r["n"]))
-                        count = sum(map(len, firsts))
-                        key = batch.column("key").take(pa.array(np.full(count, start + i)))
+                    first, last, n = wanted[start + i]
+                    for at, weight, base in _starts(first, last, n):
+                        spans = Spans(units[base : int(at[-1]) + scheme.length])
+                        own = at - base
+                        key = batch.column("key").take(pa.array(np.full(len(at), start + i)))
                         yield pa.RecordBatch.from_arrays([
-                            pa.array(np.concatenate(his).view(np.int64)), pa.array(np.concatenate(los).view(np.int64)),
-                            pa.array(np.concatenate(weights), pa.int64()), key,
-                            pa.array(np.concatenate(firsts), pa.int32())], ["hi", "lo", "n", "key", "first"])
+                            pa.array(spans.lane(0, own, own + scheme.length).view(np.int64)),
+                            pa.array(spans.lane(1, own, own + scheme.length).view(np.int64)),
+                            pa.array(weight, pa.int64()), key, pa.array(at, pa.int32())],
+                            ["hi", "lo", "n", "key", "first"])
 
     return run
 
 
+def _starts(first: np.ndarray, last: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Window starts of blocks in order, their weights, and the least start, for spans below CHUNK units."""
+    order = np.argsort(first, kind="stable")
+    first, last, n = first[order], last[order], n[order]
+    low = 0
+    while low < len(first):
+        high = int(np.searchsorted(first, first[low] + CHUNK // 2))
+        count = last[low:high] - first[low:high] + 1
+        at = np.repeat(first[low:high] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        at, weight = at.astype(np.int64), np.repeat(n[low:high], count)
+        order = np.argsort(at, kind="stable")
+        yield at[order], weight[order], int(first[low])
+        low = high
+
+
+def range_arrays(column: pa.ListArray, *more: str) -> list[tuple[np.ndarray, ...]]:
+    """first, last (and further fields) of a column of lists of structs, as arrays for each row; null is empty."""
+    flat = column.flatten()
+    fields = [flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("first", "last", *more)]
+    counts = np.array([len(x) if x.is_valid else 0 for x in column], np.int64)
+    ends = np.cumsum(counts)
+    return [tuple(f[e - c : e] for f in fields) for e, c in zip(ends, counts)]
+
+
 @dataclass
 class Recurrence:
     """candidates: rows of docs that may hold repeats (keep, key, __text). rest: `keep` columns and k of all
@@ -265,7 +282,8 @@ def find_blocks(docs: DataFrame, keep: list[str], scheme: Scheme, scratch: Scrat
     # k only proposes candidates; a collision of two texts costs time but changes no result.
     keyed = docs.withColumn("k", F.xxhash64("__text"))
     grams = scratch.store(keyed.select("k", "__text").mapInArrow(_grams(scheme), "k bigint, gram bigint"))
-    often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
+    # Stored, so that the join below reads both sides from a shuffle and can split a hot gram.
+    often = scratch.store(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram"))
     held = grams.join(often, "gram", "left_semi").groupBy("k").agg(F.collect_set("gram").alias("grams"))
     held = scratch.store(held)
     scratch.drop(grams)
@@ -291,7 +309,8 @@ def windows_in_parts(candidates: DataFrame, parts: DataFrame, scheme: Scheme, sc
     """key, first, last (= first) of the windows of lone examples that another example shares."""
     rows = scratch.store(texts_of(candidates, parts).mapInArrow(
         _single_windows(scheme), "hi bigint, lo bigint, n bigint, key binary, first int"))
-    often = rows.groupBy("hi", "lo").agg(F.sum("n").alias("copies")).filter("copies > 1").select("hi", "lo")
+    often = scratch.store(
+        rows.groupBy("hi", "lo").agg(F.sum("n").alias("copies")).filter("copies > 1").select("hi", "lo"))
     lone = rows.filter("n = 1").join(often, ["hi", "lo"], "left_semi")
     return lone.select("key", "first", F.col("first").alias("last"))
 
@@ -301,12 +320,21 @@ def ranges_of(whole: DataFrame, parts: DataFrame) -> DataFrame:
     return whole.unionByName(parts).groupBy("key").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
-def covered(ranges: list[dict], length: int, size: int) -> np.ndarray:
-    """Which of `size` units the windows of the ranges cover."""
+def runs_of(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of consecutive window starts."""
+    if not len(first):
+        return first, last
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(last[order])
+    new = np.concatenate([[True], first[1:] > reach[:-1] + 1])
+    return first[new], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(first) - 1]])]
+
+
+def covered(first: np.ndarray, last: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Which of `size` units the windows that start in the ranges cover."""
     edges = np.zeros(size + 1, np.int64)
-    for r in ranges:
-        edges[r["first"]] += 1
-        edges[min(size, r["last"] + length)] -= 1
+    np.add.at(edges, first, 1)
+    np.add.at(edges, np.minimum(size, last + length), -1)
     return np.cumsum(edges)[:size] > 0
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
-from .recurrence import Scheme, covered, find_blocks, prepared, ranges_of, texts_of, windows_in_parts
+from .recurrence import Scheme, covered, find_blocks, prepared, range_arrays, ranges_of, texts_of, windows_in_parts
 
 GRAM = 16
 SHALLOW = 24
@@ -223,12 +223,11 @@ def _sort_cells(length: int):
 def _remove(keep: list[str], length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, ranges = [], range_arrays(batch.column("ranges"))
             for start, piece in slices(batch.column("__text")):
                 for i, text in enumerate(piece):
-                    ranges = batch.column("ranges")[start + i].as_py() or []
-                    gone = covered(ranges, length, len(text)) if ranges else np.zeros(len(text), bool)
-                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if ranges else text
+                    gone = covered(*ranges[start + i], length, len(text))
+                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes() if gone.any() else text
                     spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
                     rows.append((len(text), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
