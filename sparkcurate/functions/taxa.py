@@ -29,14 +29,63 @@ RANK_SUFFIXES = [
 SPECIES_OR_BELOW = ["species", "subspecies", "strain", "isolate", "serotype", "biotype", "genotype"]
 
 # Ranks allowed by the phyloXML 1.20 schema.
-SCHEMA_RANKS = (
-    "domain superkingdom kingdom subkingdom branch infrakingdom superphylum phylum subphylum "
-    "infraphylum microphylum superdivision division subdivision infradivision superclass class "
-    "subclass infraclass superlegion legion sublegion infralegion supercohort cohort subcohort "
-    "infracohort magnorder superorder order suborder infraorder superfamily family subfamily "
-    "supertribe tribe subtribe infratribe genus subgenus superspecies species subspecies variety "
-    "varietas subvariety form subform cultivar strain section subsection unknown other"
-).split()
+SCHEMA_RANKS = [
+    "domain",
+    "superkingdom",
+    "kingdom",
+    "subkingdom",
+    "branch",
+    "infrakingdom",
+    "superphylum",
+    "phylum",
+    "subphylum",
+    "infraphylum",
+    "microphylum",
+    "superdivision",
+    "division",
+    "subdivision",
+    "infradivision",
+    "superclass",
+    "class",
+    "subclass",
+    "infraclass",
+    "superlegion",
+    "legion",
+    "sublegion",
+    "infralegion",
+    "supercohort",
+    "cohort",
+    "subcohort",
+    "infracohort",
+    "magnorder",
+    "superorder",
+    "order",
+    "suborder",
+    "infraorder",
+    "superfamily",
+    "family",
+    "subfamily",
+    "supertribe",
+    "tribe",
+    "subtribe",
+    "infratribe",
+    "genus",
+    "subgenus",
+    "superspecies",
+    "species",
+    "subspecies",
+    "variety",
+    "varietas",
+    "subvariety",
+    "form",
+    "subform",
+    "cultivar",
+    "strain",
+    "section",
+    "subsection",
+    "unknown",
+    "other",
+]
 
 # Ranks whose inner-node labels are shown.
 VISIBLE_RANKS = ["genus", "subgenus", "subfamily", "family"]

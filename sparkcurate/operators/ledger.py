@@ -34,7 +34,7 @@ def concat_request_key(taxid: Column, marker_hash: Column, max_rows: Column) ->
 
 def latest_entries(ledger: DataFrame) -> DataFrame:
     """The newest entry per request, positive and negative ones apart."""
-    return keep_first(ledger, ["request_key", "is_empty"], [F.desc("downloaded")])
+    return keep_first(ledger, ["request_key", "is_empty"], [F.desc("downloaded"), F.desc("size_bytes"), F.desc_nulls_last("family")])
 
 
 def valid_entries(ledger: DataFrame, now: Column, ttl_days: int | None = None) -> DataFrame:
@@ -57,7 +57,8 @@ def hits(requests: DataFrame, ledger: DataFrame, now: Column, ttl_days: int | No
 
 
 def without_family(ledger: DataFrame, family: str) -> DataFrame:
-    return ledger.filter(F.col("family") != family)
+    """The ledger without one family; entries of no family stay."""
+    return ledger.filter(~F.col("family").eqNullSafe(F.lit(family)))
 
 
 def without_requests(ledger: DataFrame, requests: DataFrame) -> DataFrame:

@@ -14,12 +14,13 @@ from ..session import cut_lineage
 from .scale import as_list
 
 
-def resolve_lineages(taxa: DataFrame, max_doublings: int = 10) -> DataFrame:
+def resolve_lineages(taxa: DataFrame) -> DataFrame:
     """taxid, lineage: array of (taxid, name, rank) from the root to the taxon itself.
 
     taxa: taxid, parent_taxid, name, rank. Every round joins each taxon to the
     ancestor it has reached and doubles the known stretch, so depth d takes
-    log2(d) rounds. Taxa on a cycle, or deeper than 2^max_doublings, come out NULL.
+    log2(d) rounds, however deep it is. What is still open after log2(number of taxa)
+    rounds hangs on a cycle and comes out NULL.
     """
     entry = F.struct("taxid", "name", "rank")
     known_parent = F.when(F.col("parent_taxid") != F.col("taxid"), F.col("parent_taxid"))
@@ -28,7 +29,7 @@ def resolve_lineages(taxa: DataFrame, max_doublings: int = 10) -> DataFrame:
     state = cut_lineage(
         linked.select("taxid", F.array(entry).alias("lineage"), F.when(F.col("__p").isNotNull(), known_parent).alias("up"))
     )
-    for _ in range(max_doublings):
+    for _ in range(state.count().bit_length() + 1):
         if state.filter(F.col("up").isNotNull()).isEmpty():
             break
         above = state.select(F.col("taxid").alias("up"), F.col("lineage").alias("__above"), F.col("up").alias("__next"))

@@ -21,6 +21,7 @@ GROUP_LIMIT = 1000
 SALTS = 64
 # Groups whose statistics may be broadcast; a row is a key and a few numbers.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def as_list(keys: str | Sequence[str]) -> list[str]:
@@ -31,12 +32,13 @@ def small_side(df: DataFrame, written: bool = False) -> DataFrame:
     """A join side with one narrow row per group, broadcast when its counted size allows.
 
     It is written once (unless it already is) and counted. Up to BROADCAST_ROWS rows
-    it is broadcast, so the large side is not shuffled on a key that may be hot;
+    and BROADCAST_BYTES (as JSON) it is broadcast, so the large side is not shuffled on a key that may be hot;
     beyond that the join is an ordinary one, whose hot partitions adaptive execution
     splits.
     """
     df = df if written else cut_lineage(df)
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    measured = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("bytes")).first()
+    return F.broadcast(df) if measured["n"] <= BROADCAST_ROWS and (measured["bytes"] or 0) <= BROADCAST_BYTES else df
 
 
 def attach_groups(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -8,7 +8,7 @@ one row per node, whatever its shape. No (node, leaf) table is built for them.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,17 @@ from .scale import exact_median, first_k
 KEY = ["tree_id", "node_id"]
 
 
+def open_rounds(state: Callable[[], DataFrame]) -> Iterator[int]:
+    """Rounds of pointer doubling while some row has an ancestor left; a tree with n nodes needs at most log2(n)."""
+    limit = state().count().bit_length() + 1
+    for done in range(limit + 1):
+        if state().filter(F.col("up").isNotNull()).isEmpty():
+            return
+        if done == limit:
+            raise ValueError("the node table has a cycle")
+        yield done
+
+
 def subtree_aggregate(nodes: DataFrame, values: Mapping[str, str]) -> DataFrame:
     """Aggregate columns of each node's whole subtree, the node included.
 
@@ -27,7 +38,7 @@ def subtree_aggregate(nodes: DataFrame, values: Mapping[str, str]) -> DataFrame:
     """
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
     state = cut_lineage(nodes.select(*KEY, F.col("parent_id").alias("up"), *values))
-    while not state.filter(F.col("up").isNotNull()).isEmpty():
+    for _ in open_rounds(lambda: state):
         lifted = state.filter(F.col("up").isNotNull()).select("tree_id", F.col("up").alias("node_id"), *values)
         merged = (
             state.select(*KEY, *values)
@@ -49,7 +60,7 @@ def _double(state: DataFrame) -> DataFrame:
 def path_sum(nodes: DataFrame, values: list[str]) -> DataFrame:
     """Sum of columns over each node and all its ancestors."""
     state = cut_lineage(nodes.select(*KEY, F.col("parent_id").alias("up"), *values))
-    while not state.filter(F.col("up").isNotNull()).isEmpty():
+    for _ in open_rounds(lambda: state):
         above = state.select(
             "tree_id", F.col("node_id").alias("up"), F.col("up").alias("__next"), *[F.col(v).alias(f"__{v}") for v in values]
         )
@@ -65,7 +76,7 @@ def path_sum(nodes: DataFrame, values: list[str]) -> DataFrame:
 def path_ends(nodes: DataFrame, low: str, high: str) -> DataFrame:
     """Smallest `low` and largest `high` over each node and all its ancestors; NULLs are ignored."""
     state = cut_lineage(nodes.select(*KEY, F.col("parent_id").alias("up"), low, high))
-    while not state.filter(F.col("up").isNotNull()).isEmpty():
+    for _ in open_rounds(lambda: state):
         above = state.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("__next"), F.col(low).alias("__l"), F.col(high).alias("__h"))
         joined = state.join(above, ["tree_id", "up"], "left")
         smaller = F.when(F.col("__l").isNull() | (F.col(low) <= F.col("__l")), F.col(low)).otherwise(F.col("__l"))
@@ -82,7 +93,7 @@ def leaf_closure(nodes: DataFrame) -> DataFrame:
         nodes.filter("is_leaf").select("tree_id", F.col("node_id").alias("leaf_id"), "node_id")
     )
     jumps = cut_lineage(nodes.select(*KEY, F.col("parent_id").alias("up")))
-    while not jumps.filter(F.col("up").isNotNull()).isEmpty():
+    for _ in open_rounds(lambda: jumps):
         lifted = reach.join(jumps.filter(F.col("up").isNotNull()), KEY).select("tree_id", "leaf_id", F.col("up").alias("node_id"))
         # pairs at distances 0 .. 2^k-1 and their lifts by 2^k never coincide
         reach = cut_lineage(reach.unionByName(lifted))
@@ -170,9 +181,13 @@ def shown_labels(labelled: DataFrame, nodes: DataFrame, leaf_species: DataFrame)
 
 
 def restore_names(nodes: DataFrame, id_map: DataFrame) -> DataFrame:
-    """Leaves take their display name, or keep the id when it is not mapped; inner names go."""
-    names = id_map.select(F.col("short_id").alias("name"), "display_name")
-    joined = nodes.join(names, "name", "left")
+    """Leaves take their display name, or keep the id when it is not mapped; inner names go.
+
+    Short ids are unique within a family only, so the tree or family takes part in the join where both know it.
+    """
+    group = [c for c in ("tree_id", "family") if c in nodes.columns and c in id_map.columns]
+    names = id_map.select(*group, F.col("short_id").alias("name"), "display_name")
+    joined = nodes.join(names, [*group, "name"], "left")
     shown = F.when(F.col("is_leaf"), F.coalesce("display_name", "name"))
     return joined.withColumn("name", shown).select(*nodes.columns)
 

@@ -217,18 +217,20 @@ def _a10(spark, folder):
 
 @query(
     "a11_leaf_metadata",
-    """SELECT 'C' || c_custkey AS short_id, CASE WHEN c_acctbal > 0 THEN c_name || '|x' ELSE '' END AS display_name, c_name AS accession, c_mktsegment AS species, c_nationkey % 2 AS target FROM customer""",
+    """SELECT 'C' || c_custkey % 100 AS short_id, CASE WHEN c_acctbal > 0 THEN c_name || '|x' ELSE '' END AS display_name, c_name AS accession, c_mktsegment AS species, c_nationkey % 2 AS target FROM customer""",
 )
 def _a11(spark, folder):
     path = scratch_folder(spark)
     cust = table(spark, folder, "customer")
-    sid = F.concat(F.lit("C"), F.col("c_custkey").cast("string"))
+    # Short ids repeat across families; the family tells them apart.
+    sid = F.concat(F.lit("C"), (F.col("c_custkey") % 100).cast("string"))
+    family = F.concat(F.lit("fam"), F.floor(F.col("c_custkey") / 100).cast("string"))
     none = F.lit("unknown")
     rows = cust.select(
         sid.alias("short_id"), F.col("c_name").alias("accession"), F.col("c_mktsegment").alias("species"), none.alias("strain"), none.alias("host"),
-        none.alias("collection_date"), none.alias("location"), none.alias("taxon_id"), F.lit(1).alias("length"), F.lit("fam").alias("family"), (F.col("c_nationkey") % 2).alias("target"),
+        none.alias("collection_date"), none.alias("location"), none.alias("taxon_id"), F.lit(1).alias("length"), family.alias("family"), (F.col("c_nationkey") % 2).alias("target"),
     )
-    names = cust.filter("c_acctbal > 0").select(sid.alias("short_id"), F.concat("c_name", F.lit("|x")).alias("display_name"))
+    names = cust.filter("c_acctbal > 0").select(family.alias("family"), sid.alias("short_id"), F.concat("c_name", F.lit("|x")).alias("display_name"))
     tables.write_leaf_metadata(rows, names, path)
     back = tables.read_tsv(spark, path)
     return back.select("short_id", F.coalesce("display_name", F.lit("")).alias("display_name"), "accession", "species", F.col("target").cast("int").alias("target"))
@@ -403,16 +405,16 @@ def _c15(spark, folder):
     return settings.resolve(rows.agg(F.min("p_name").alias("value")))
 
 
-_FAMILIES = sorted({f for names in [*dimensions.SEGMENTS.values(), *dimensions.DNA_REGIONS.values()] for f in names.split()})
+_FAMILIES = sorted({f for f, _ in [*dimensions.SEGMENTED_FAMILIES, *dimensions.DNA_FAMILIES]})
 
 
 def _values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join("NULL" if v is None else repr(v) for v in row) + ")" for row in rows) + ")"
 
 
-_SEG_ROWS = [(f, s) for s, names in dimensions.SEGMENTS.items() for f in names.split()]
-_DNA_ROWS = [(f, r, "nucleotide" if r == "whole_genome" else "protein") for r, names in dimensions.DNA_REGIONS.items() for f in names.split()]
-_PRESET_ROWS = [(f, len(t.strip().splitlines())) for names, t in dimensions.MARKER_PRESETS.items() for f in names.split()]
+_SEG_ROWS = dimensions.SEGMENTED_FAMILIES
+_DNA_ROWS = [(f, r, "nucleotide" if r == "whole_genome" else "protein") for f, r in dimensions.DNA_FAMILIES]
+_PRESET_ROWS = [(f, len(dimensions.preset_markers(f))) for f, _ in dimensions.PRESET_FAMILIES]
 
 
 @query(
@@ -464,7 +466,7 @@ def _requests(spark, folder):
 _NOW = "TIMESTAMP '2024-01-31 00:00:00'"
 _LEDGER_SQL = f"""led AS (SELECT user_id || '|' || event_type AS request_key, ts AS downloaded, CAST(CASE WHEN value < 3 THEN 0 ELSE floor(value * 1000) END AS BIGINT) AS size_bytes,
   json_extract_string(props, '$.k') AS family, event_type = 'error' AS is_empty FROM events),
-latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_key, is_empty ORDER BY downloaded DESC) AS k FROM led) WHERE k = 1),
+latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_key, is_empty ORDER BY downloaded DESC, size_bytes DESC NULLS LAST, family DESC NULLS LAST) AS k FROM led) WHERE k = 1),
 valid AS (SELECT * FROM latest WHERE downloaded >= {_NOW} - INTERVAL 2 DAY AND (is_empty OR size_bytes > 0)),
 req AS (SELECT c_custkey || '|' || k AS request_key FROM customer CROSS JOIN (VALUES ('click'), ('error'), ('view')) t(k))"""
 
@@ -483,7 +485,7 @@ def _h11(spark, folder):
 
 @query(
     "h11_ledger_deletes",
-    f"WITH {_LEDGER_SQL} SELECT family, count(*) AS n FROM led WHERE family <> '7' AND request_key NOT IN (SELECT request_key FROM valid) GROUP BY family",
+    f"WITH {_LEDGER_SQL} SELECT family, count(*) AS n FROM led WHERE family IS DISTINCT FROM '7' AND request_key NOT IN (SELECT request_key FROM valid) GROUP BY family",
 )
 def _h11d(spark, folder):
     book = _ledger(spark, folder)

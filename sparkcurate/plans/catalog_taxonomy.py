@@ -384,12 +384,13 @@ def _b15(spark, folder):
 
 @query(
     "c12_restored_names",
-    f"WITH {FOREST_SQL} SELECT tree_id, node_id, CASE WHEN is_leaf THEN coalesce(CASE WHEN node_id % 2 = 0 THEN 'shown|' || name END, name) END AS name FROM nodes",
+    f"WITH {FOREST_SQL} SELECT tree_id, node_id, CASE WHEN is_leaf THEN coalesce(CASE WHEN node_id % 2 = 0 THEN tree_id || '|' || name END, name) END AS name FROM nodes",
 )
 def _c12(spark, folder):
     nodes = forest(spark, folder)
-    mapped = nodes.filter("is_leaf AND node_id % 2 = 0").select(F.col("name").alias("short_id")).distinct()
-    names = mapped.withColumn("display_name", F.concat(F.lit("shown|"), "short_id"))
+    # Trees share leaf names, so each has its own map.
+    mapped = nodes.filter("is_leaf AND node_id % 2 = 0").select("tree_id", F.col("name").alias("short_id"))
+    names = mapped.withColumn("display_name", F.concat(F.col("tree_id").cast("string"), F.lit("|"), "short_id"))
     return trees.restore_names(nodes, names).select("tree_id", "node_id", "name")
 
 

@@ -15,6 +15,8 @@ ADAPTIVE_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files go when their table is no longer referenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

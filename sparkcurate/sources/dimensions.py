@@ -5,90 +5,134 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 # Segmented families and the segment used for each.
-SEGMENTS = {
-    "segment L": (
-        "Arenaviridae Hantaviridae Nairoviridae Peribunyaviridae Phenuiviridae Tospoviridae Leishbuviridae "
-        "Phasmaviridae Wupedeviridae Discoviridae Cruliviridae Blumeviridae Konkoviridae Mypoviridae "
-        "Tulasviridae Steitzviridae"
-    ),
-    "segment B": "Birnaviridae",
-    "segment 1": "Picobirnaviridae Reoviridae Sedoreoviridae Spinareoviridae",
-    "RNA1": "Partitiviridae Amalgaviridae Megabirnaviridae Fimoviridae Chrysoviridae Quadriviridae",
-    "PB1": "Orthomyxoviridae",
-}
+SEGMENTED_FAMILIES = [
+    ("Arenaviridae", "segment L"),
+    ("Hantaviridae", "segment L"),
+    ("Nairoviridae", "segment L"),
+    ("Peribunyaviridae", "segment L"),
+    ("Phenuiviridae", "segment L"),
+    ("Tospoviridae", "segment L"),
+    ("Leishbuviridae", "segment L"),
+    ("Phasmaviridae", "segment L"),
+    ("Wupedeviridae", "segment L"),
+    ("Discoviridae", "segment L"),
+    ("Cruliviridae", "segment L"),
+    ("Blumeviridae", "segment L"),
+    ("Konkoviridae", "segment L"),
+    ("Mypoviridae", "segment L"),
+    ("Tulasviridae", "segment L"),
+    ("Steitzviridae", "segment L"),
+    ("Birnaviridae", "segment B"),
+    ("Picobirnaviridae", "segment 1"),
+    ("Reoviridae", "segment 1"),
+    ("Sedoreoviridae", "segment 1"),
+    ("Spinareoviridae", "segment 1"),
+    ("Partitiviridae", "RNA1"),
+    ("Amalgaviridae", "RNA1"),
+    ("Megabirnaviridae", "RNA1"),
+    ("Fimoviridae", "RNA1"),
+    ("Chrysoviridae", "RNA1"),
+    ("Quadriviridae", "RNA1"),
+    ("Orthomyxoviridae", "PB1"),
+]
 
 # DNA families and the single region used for each.
-DNA_REGIONS = {
-    "Rep": "Circoviridae Smacoviridae",
-    "ORF1": "Anelloviridae",
-    "whole_genome": "Hepadnaviridae",
-    "NS1": "Parvoviridae",
-    "large T antigen": "Polyomaviridae",
-    "L1": "Papillomaviridae",
-    "hexon": "Adenoviridae",
-    "DNA polymerase": (
-        "Orthoherpesviridae Herpesviridae Alloherpesviridae Malacoherpesviridae Nimaviridae Hytrosaviridae "
-        "Phycodnaviridae Mimiviridae Marseilleviridae Pandoraviridae Pithoviridae Medusaviridae"
-    ),
-    "rpo147": "Poxviridae",
-    "major capsid protein": "Iridoviridae",
-    "B646L": "Asfarviridae",
-    "lef-8": "Baculoviridae Nudiviridae Ascoviridae",
-}
+DNA_FAMILIES = [
+    ("Circoviridae", "Rep"),
+    ("Smacoviridae", "Rep"),
+    ("Anelloviridae", "ORF1"),
+    ("Hepadnaviridae", "whole_genome"),
+    ("Parvoviridae", "NS1"),
+    ("Polyomaviridae", "large T antigen"),
+    ("Papillomaviridae", "L1"),
+    ("Adenoviridae", "hexon"),
+    ("Orthoherpesviridae", "DNA polymerase"),
+    ("Herpesviridae", "DNA polymerase"),
+    ("Alloherpesviridae", "DNA polymerase"),
+    ("Malacoherpesviridae", "DNA polymerase"),
+    ("Nimaviridae", "DNA polymerase"),
+    ("Hytrosaviridae", "DNA polymerase"),
+    ("Phycodnaviridae", "DNA polymerase"),
+    ("Mimiviridae", "DNA polymerase"),
+    ("Marseilleviridae", "DNA polymerase"),
+    ("Pandoraviridae", "DNA polymerase"),
+    ("Pithoviridae", "DNA polymerase"),
+    ("Medusaviridae", "DNA polymerase"),
+    ("Poxviridae", "rpo147"),
+    ("Iridoviridae", "major capsid protein"),
+    ("Asfarviridae", "B646L"),
+    ("Baculoviridae", "lef-8"),
+    ("Nudiviridae", "lef-8"),
+    ("Ascoviridae", "lef-8"),
+]
 
-# Marker presets, one line per marker: name | aliases | locus tag hint.
-MARKER_PRESETS = {
-    "Poxviridae": """
-        DNA polymerase | DNA-directed DNA polymerase; DNA pol | E9L|polB
-        DNA-directed RNA polymerase 147 kDa subunit | RPO147; RNA polymerase subunit RPO147 | A24R|RPO147|rpo147
-        DNA-directed RNA polymerase 132 kDa subunit | RPO132; RNA polymerase subunit RPO132 | J6R|RPO132|rpo132
-        mRNA capping enzyme large subunit | capping enzyme large subunit | D1R
-        DNA helicase | NPH-II; transcript release factor | A18R|NPH2
-        poly(A) polymerase catalytic subunit | poly(A) polymerase large subunit | E1L|VP55
-        late transcription factor VLTF-3 | VLTF3; late transcription factor 3 | A1L|VLTF
-        uracil-DNA glycosylase | UNG | D4R|UNG
-        single-stranded DNA-binding protein | ssDNA binding protein | I3L|ssb""",
-    "Orthoherpesviridae Herpesviridae Alloherpesviridae Malacoherpesviridae": r"""
-        DNA polymerase catalytic subunit | DNA-directed DNA polymerase catalytic subunit; DNA polymerase | UL30
-        helicase-primase helicase subunit | DNA helicase | UL5\b
-        helicase-primase primase subunit | primase | UL52
-        major capsid protein | MCP; capsid protein VP5 | UL19|VP5\b
-        capsid triplex subunit 2 | VP23; minor capsid protein | UL18|VP23
-        DNA packaging terminase subunit 1 | terminase ATPase subunit; DNA packaging terminase ATPase | UL15
-        single-stranded DNA-binding protein | major DNA-binding protein; ICP8 | UL29|ICP8""",
-    "Asfarviridae": """
-        DNA polymerase B | DNA polymerase; DNA-directed DNA polymerase | polB
-        major capsid protein p72 | major capsid protein; p72; capsid protein p72 | B646L|p72
-        packaging ATPase | A32-like ATPase; FtsK-like ATPase | A32
-        primase-helicase | D5-like helicase; superfamily 3 helicase | D5|A18
-        late transcription factor 3 | VLTF-3 | VLTF
-        DNA-directed RNA polymerase subunit | RPB1-like subunit; RNA polymerase largest subunit | NP1450L|RPB1""",
-    "Iridoviridae": """
-        major capsid protein | MCP | MCP
-        DNA polymerase | DNA-directed DNA polymerase | polB
-        packaging ATPase | A32-like ATPase | A32
-        ribonuclease III | RNase III | rnc
-        DNA helicase | D5-like helicase | D5|helicase
-        late transcription factor 3 | VLTF-3 | VLTF
-        immediate-early protein ICP-46 | ICP46 | ICP46""",
-    "Baculoviridae Nudiviridae Ascoviridae": """
-        DNA polymerase | DNA-directed DNA polymerase | polB
-        late expression factor 8 | LEF-8; RNA polymerase subunit LEF-8 | lef-?8
-        late expression factor 9 | LEF-9; RNA polymerase subunit LEF-9 | lef-?9
-        DNA helicase P143 | p143; helicase | p143|helicase
-        per os infectivity factor 1 | PIF-1; P74 | pif-?1|p74
-        per os infectivity factor 2 | PIF-2 | pif-?2
-        major capsid protein | VP39; capsid protein VP39 | vp39|MCP""",
-    "Mimiviridae Phycodnaviridae Marseilleviridae Pithoviridae Pandoraviridae Medusaviridae": """
-        DNA polymerase | DNA-directed DNA polymerase; polymerase B; DNA polymerase B | polB
-        major capsid protein | MCP; capsid protein | MCP
-        packaging ATPase | A32-like ATPase; FtsK-like ATPase | A32
-        primase-helicase | D5-like helicase; superfamily 3 helicase | D5
-        late transcription factor 3 | VLTF-3 | VLTF
-        mRNA capping enzyme | capping enzyme large subunit |
-        DNA-directed RNA polymerase subunit alpha | RNA polymerase RPB1; largest subunit RNA polymerase | RPB1
-        DNA-directed RNA polymerase subunit beta | RNA polymerase RPB2; second-largest subunit RNA polymerase | RPB2""",
-}
+# Families of a preset.
+PRESET_FAMILIES = [
+    ("Poxviridae", "Poxviridae"),
+    ("Orthoherpesviridae", "Orthoherpesviridae"),
+    ("Herpesviridae", "Orthoherpesviridae"),
+    ("Alloherpesviridae", "Orthoherpesviridae"),
+    ("Malacoherpesviridae", "Orthoherpesviridae"),
+    ("Asfarviridae", "Asfarviridae"),
+    ("Iridoviridae", "Iridoviridae"),
+    ("Baculoviridae", "Baculoviridae"),
+    ("Nudiviridae", "Baculoviridae"),
+    ("Ascoviridae", "Baculoviridae"),
+    ("Mimiviridae", "Mimiviridae"),
+    ("Phycodnaviridae", "Mimiviridae"),
+    ("Marseilleviridae", "Mimiviridae"),
+    ("Pithoviridae", "Mimiviridae"),
+    ("Pandoraviridae", "Mimiviridae"),
+    ("Medusaviridae", "Mimiviridae"),
+]
+
+# Markers of each preset in order: preset, name, aliases, locus tag hint.
+PRESET_MARKERS = [
+    ("Poxviridae", "DNA polymerase", ["DNA-directed DNA polymerase", "DNA pol"], "E9L|polB"),
+    ("Poxviridae", "DNA-directed RNA polymerase 147 kDa subunit", ["RPO147", "RNA polymerase subunit RPO147"], "A24R|RPO147|rpo147"),
+    ("Poxviridae", "DNA-directed RNA polymerase 132 kDa subunit", ["RPO132", "RNA polymerase subunit RPO132"], "J6R|RPO132|rpo132"),
+    ("Poxviridae", "mRNA capping enzyme large subunit", ["capping enzyme large subunit"], "D1R"),
+    ("Poxviridae", "DNA helicase", ["NPH-II", "transcript release factor"], "A18R|NPH2"),
+    ("Poxviridae", "poly(A) polymerase catalytic subunit", ["poly(A) polymerase large subunit"], "E1L|VP55"),
+    ("Poxviridae", "late transcription factor VLTF-3", ["VLTF3", "late transcription factor 3"], "A1L|VLTF"),
+    ("Poxviridae", "uracil-DNA glycosylase", ["UNG"], "D4R|UNG"),
+    ("Poxviridae", "single-stranded DNA-binding protein", ["ssDNA binding protein"], "I3L|ssb"),
+    ("Orthoherpesviridae", "DNA polymerase catalytic subunit", ["DNA-directed DNA polymerase catalytic subunit", "DNA polymerase"], "UL30"),
+    ("Orthoherpesviridae", "helicase-primase helicase subunit", ["DNA helicase"], "UL5\\b"),
+    ("Orthoherpesviridae", "helicase-primase primase subunit", ["primase"], "UL52"),
+    ("Orthoherpesviridae", "major capsid protein", ["MCP", "capsid protein VP5"], "UL19|VP5\\b"),
+    ("Orthoherpesviridae", "capsid triplex subunit 2", ["VP23", "minor capsid protein"], "UL18|VP23"),
+    ("Orthoherpesviridae", "DNA packaging terminase subunit 1", ["terminase ATPase subunit", "DNA packaging terminase ATPase"], "UL15"),
+    ("Orthoherpesviridae", "single-stranded DNA-binding protein", ["major DNA-binding protein", "ICP8"], "UL29|ICP8"),
+    ("Asfarviridae", "DNA polymerase B", ["DNA polymerase", "DNA-directed DNA polymerase"], "polB"),
+    ("Asfarviridae", "major capsid protein p72", ["major capsid protein", "p72", "capsid protein p72"], "B646L|p72"),
+    ("Asfarviridae", "packaging ATPase", ["A32-like ATPase", "FtsK-like ATPase"], "A32"),
+    ("Asfarviridae", "primase-helicase", ["D5-like helicase", "superfamily 3 helicase"], "D5|A18"),
+    ("Asfarviridae", "late transcription factor 3", ["VLTF-3"], "VLTF"),
+    ("Asfarviridae", "DNA-directed RNA polymerase subunit", ["RPB1-like subunit", "RNA polymerase largest subunit"], "NP1450L|RPB1"),
+    ("Iridoviridae", "major capsid protein", ["MCP"], "MCP"),
+    ("Iridoviridae", "DNA polymerase", ["DNA-directed DNA polymerase"], "polB"),
+    ("Iridoviridae", "packaging ATPase", ["A32-like ATPase"], "A32"),
+    ("Iridoviridae", "ribonuclease III", ["RNase III"], "rnc"),
+    ("Iridoviridae", "DNA helicase", ["D5-like helicase"], "D5|helicase"),
+    ("Iridoviridae", "late transcription factor 3", ["VLTF-3"], "VLTF"),
+    ("Iridoviridae", "immediate-early protein ICP-46", ["ICP46"], "ICP46"),
+    ("Baculoviridae", "DNA polymerase", ["DNA-directed DNA polymerase"], "polB"),
+    ("Baculoviridae", "late expression factor 8", ["LEF-8", "RNA polymerase subunit LEF-8"], "lef-?8"),
+    ("Baculoviridae", "late expression factor 9", ["LEF-9", "RNA polymerase subunit LEF-9"], "lef-?9"),
+    ("Baculoviridae", "DNA helicase P143", ["p143", "helicase"], "p143|helicase"),
+    ("Baculoviridae", "per os infectivity factor 1", ["PIF-1", "P74"], "pif-?1|p74"),
+    ("Baculoviridae", "per os infectivity factor 2", ["PIF-2"], "pif-?2"),
+    ("Baculoviridae", "major capsid protein", ["VP39", "capsid protein VP39"], "vp39|MCP"),
+    ("Mimiviridae", "DNA polymerase", ["DNA-directed DNA polymerase", "polymerase B", "DNA polymerase B"], "polB"),
+    ("Mimiviridae", "major capsid protein", ["MCP", "capsid protein"], "MCP"),
+    ("Mimiviridae", "packaging ATPase", ["A32-like ATPase", "FtsK-like ATPase"], "A32"),
+    ("Mimiviridae", "primase-helicase", ["D5-like helicase", "superfamily 3 helicase"], "D5"),
+    ("Mimiviridae", "late transcription factor 3", ["VLTF-3"], "VLTF"),
+    ("Mimiviridae", "mRNA capping enzyme", ["capping enzyme large subunit"], None),
+    ("Mimiviridae", "DNA-directed RNA polymerase subunit alpha", ["RNA polymerase RPB1", "largest subunit RNA polymerase"], "RPB1"),
+    ("Mimiviridae", "DNA-directed RNA polymerase subunit beta", ["RNA polymerase RPB2", "second-largest subunit RNA polymerase"], "RPB2"),
+]
 # Aliases used by one subfamily only.
 SUBFAMILY_ALIASES = {("Poxviridae", "DNA polymerase"): {"Entomopoxvirinae": ["DNA polymerase B"]}}
 
@@ -99,25 +143,23 @@ MARKER_SCHEMA = (
 
 
 def segmented_families(spark: SparkSession) -> DataFrame:
-    rows = [(family, segment) for segment, names in SEGMENTS.items() for family in names.split()]
-    return spark.createDataFrame(rows, "family STRING, segment STRING")
+    return spark.createDataFrame(SEGMENTED_FAMILIES, "family STRING, segment STRING")
 
 
 def dna_families(spark: SparkSession) -> DataFrame:
-    rows = [
-        (family, region, "nucleotide" if region == "whole_genome" else "protein")
-        for region, names in DNA_REGIONS.items()
-        for family in names.split()
-    ]
+    rows = [(f, region, "nucleotide" if region == "whole_genome" else "protein") for f, region in DNA_FAMILIES]
     return spark.createDataFrame(rows, "family STRING, region STRING, molecule STRING")
 
 
+def preset_markers(family: str) -> list[tuple]:
+    """Name, aliases and hint of the markers of a family, in order."""
+    preset = dict(PRESET_FAMILIES)[family]
+    return [(name, aliases, hint) for key, name, aliases, hint in PRESET_MARKERS if key == preset]
+
+
 def marker_presets(spark: SparkSession) -> DataFrame:
     rows = []
-    for families, text in MARKER_PRESETS.items():
-        for order, line in enumerate(text.strip().splitlines(), start=1):
-            name, aliases, hint = (part.strip() for part in line.split("|", 2))
-            for family in families.split():
-                extra = SUBFAMILY_ALIASES.get((family, name), {})
-                rows.append((family, order, name, aliases.split("; "), extra, None, None, hint or None))
+    for family, _ in PRESET_FAMILIES:
+        for order, (name, aliases, hint) in enumerate(preset_markers(family), start=1):
+            rows.append((family, order, name, aliases, SUBFAMILY_ALIASES.get((family, name), {}), None, None, hint))
     return spark.createDataFrame(rows, MARKER_SCHEMA)

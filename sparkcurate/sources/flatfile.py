@@ -68,9 +68,18 @@ def with_metadata(records: DataFrame) -> DataFrame:
     return records.withColumns(source_metadata(F.col("organism"), F.col("features")))
 
 
+# A record ends with a line of two slashes; what follows on it (a carriage return) goes with the next part.
+RECORD_END = "\n//"
+
+
 def flat_blocks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    lines = spark.read.option("lineSep", "\n//\n").text(path)
-    return lines.filter(F.length(F.trim(F.regexp_replace("value", "\n|//", ""))) > 0)
+    return record_blocks(spark.read.option("lineSep", RECORD_END).text(path))
+
+
+def record_blocks(parts: DataFrame) -> DataFrame:
+    """Texts between end marks as records with plain line ends; blank ones dropped."""
+    plain = F.regexp_replace(F.regexp_replace("value", "\r", ""), "^\n+", "")
+    return parts.withColumn("value", plain).filter(F.length(F.trim(F.regexp_replace("value", "\n|//", ""))) > 0)
 
 
 def read_flat_files(spark: SparkSession, path: str | list[str]) -> DataFrame:

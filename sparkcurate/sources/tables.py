@@ -16,34 +16,93 @@ METADATA_COLUMNS = [
     "collection_date", "location", "taxon_id", "length",
 ]
 TARGET_LABELS = ("500", "100")
+# The columns of the family summary, in file order.
+SUMMARY_COLUMNS = [
+    "family",
+    "ncbi_taxid",
+    "lineage",
+    "baltimore_class",
+    "molecule_region",
+    "species_discovered",
+    "species_with_seqs",
+    "species_relaxed_threshold",
+    "seqs_passing_qc",
+    "qc_excluded_organism",
+    "qc_excluded_length",
+    "qc_excluded_ambiguity",
+    "qc_undefined",
+    "seqlen_min",
+    "seqlen_q1",
+    "seqlen_median",
+    "seqlen_mean",
+    "seqlen_q3",
+    "seqlen_max",
+    "seqlen_iqr",
+    "tree500_leaves",
+    "tree500_support_type",
+    "tree500_support_min",
+    "tree500_support_q1",
+    "tree500_support_median",
+    "tree500_support_q3",
+    "tree500_support_max",
+    "tree500_support_iqr",
+    "tree500_cluster_thresh_min",
+    "tree500_cluster_thresh_max",
+    "tree500_msa_length",
+    "tree500_msa_length_pre_trim",
+    "tree500_msa_tool",
+    "tree500_msa_options",
+    "tree500_trim_tool",
+    "tree500_trim_options",
+    "tree500_msa_gap_pct",
+    "tree500_tree_tool",
+    "tree500_tree_options",
+    "tree100_leaves",
+    "tree100_support_type",
+    "tree100_support_min",
+    "tree100_support_q1",
+    "tree100_support_median",
+    "tree100_support_q3",
+    "tree100_support_max",
+    "tree100_support_iqr",
+    "tree100_cluster_thresh_min",
+    "tree100_cluster_thresh_max",
+    "tree100_msa_length",
+    "tree100_msa_length_pre_trim",
+    "tree100_msa_tool",
+    "tree100_msa_options",
+    "tree100_trim_tool",
+    "tree100_trim_options",
+    "tree100_msa_gap_pct",
+    "tree100_tree_tool",
+    "tree100_tree_options",
+    "tree500_n_outliers_removed",
+    "tree100_n_outliers_removed",
+    "tree500_n_length_outliers_long",
+    "tree500_n_length_outliers_short",
+    "tree100_n_length_outliers_long",
+    "tree100_n_length_outliers_short",
+    "tree500_n_refseq_absorbed",
+    "tree100_n_refseq_absorbed",
+    "tree500_n_genera",
+    "tree100_n_genera",
+    "tree500_n_subfamilies",
+    "tree100_n_subfamilies",
+    "tree500_concat_n_markers_target",
+    "tree100_concat_n_markers_target",
+    "tree500_concat_n_markers_used",
+    "tree100_concat_n_markers_used",
+    "tree500_concat_length",
+    "tree100_concat_length",
+    "tree500_marker_coverage",
+    "tree100_marker_coverage",
+    "tree100_marker_models",
+]
 
 
 def summary_columns() -> list[str]:
     """Columns of the family summary, in file order."""
-    # The column names of the summary file.
-    family = (
-        "family ncbi_taxid lineage baltimore_class molecule_region species_discovered species_with_seqs "
-        "species_relaxed_threshold seqs_passing_qc qc_excluded_organism qc_excluded_length qc_excluded_ambiguity "
-        "qc_undefined seqlen_min seqlen_q1 seqlen_median seqlen_mean seqlen_q3 seqlen_max seqlen_iqr"
-    ).split()
-    tree = (
-        "leaves support_type support_min support_q1 support_median support_q3 support_max support_iqr "
-        "cluster_thresh_min cluster_thresh_max msa_length msa_length_pre_trim msa_tool msa_options trim_tool "
-        "trim_options msa_gap_pct tree_tool tree_options"
-    ).split()
-    counts = ["n_outliers_removed"]
-    length_outliers = ["n_length_outliers_long", "n_length_outliers_short"]
-    later = (
-        "n_refseq_absorbed n_genera n_subfamilies concat_n_markers_target concat_n_markers_used concat_length "
-        "marker_coverage"
-    ).split()
-    out = list(family)
-    for label in TARGET_LABELS:
-        out += [f"tree{label}_{c}" for c in tree]
-    out += [f"tree{label}_{c}" for c in counts for label in TARGET_LABELS]
-    out += [f"tree{label}_{c}" for label in TARGET_LABELS for c in length_outliers]
-    out += [f"tree{label}_{c}" for c in later for label in TARGET_LABELS]
-    return [*out, "tree100_marker_models"]
+    return list(SUMMARY_COLUMNS)
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -80,10 +139,11 @@ def family_annotations(rows: DataFrame | None, ordinal: str = "ordinal") -> Data
 
 
 def read_family_annotations(spark: SparkSession, path: str) -> DataFrame | None:
-    """Annotation file; input order is the order of rows in the file."""
+    """Annotation file; input order is by file, split of the file and row in the split."""
     if not path_exists(spark, path):
         return None
-    rows = read_tsv(spark, path).withColumn("ordinal", F.monotonically_increasing_id())
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    rows = read_tsv(spark, path).withColumn("ordinal", place)
     return family_annotations(rows)
 
 
@@ -118,8 +178,9 @@ def append_status(df: DataFrame, path: str) -> None:
 
 
 def leaf_metadata(rows: DataFrame, id_map: DataFrame) -> DataFrame:
-    """The ten metadata columns with the display name joined in."""
-    named = rows.join(id_map.select("short_id", "display_name"), "short_id", "left")
+    """The ten metadata columns with the display name joined in; short ids are unique within a family only."""
+    group = [c for c in ("family",) if c in rows.columns and c in id_map.columns]
+    named = rows.join(id_map.select(*group, "short_id", "display_name"), [*group, "short_id"], "left")
     return named.withColumn("display_name", F.coalesce("display_name", F.lit("")))
 
 

@@ -7,16 +7,14 @@ checkpoint makes every file count once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.qc import QualityRules, row_checks
-from ..sources.flatfile import parse_flat_records, with_metadata
+from ..sources.flatfile import RECORD_END, parse_flat_records, record_blocks, with_metadata
 
 
 def stream_flat_files(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spark.readStream.option("lineSep", "\n//\n").text(folder)
-    blocks = lines.filter(F.length(F.trim(F.regexp_replace("value", "\n|//", ""))) > 0)
+    blocks = record_blocks(spark.readStream.option("lineSep", RECORD_END).text(folder))
     return with_metadata(parse_flat_records(blocks))
 
 

@@ -175,3 +175,18 @@ def test_stream_ingest(spark, tmp_path):
         query.awaitTermination(120)
     rows = {r.accession: r for r in spark.read.parquet(str(out)).collect()}
     assert len(rows) == 2 and rows["NC_001477.1"].ambiguous and rows["AB1.2"].undefined
+
+
+def test_carriage_returns_and_unmarked_ends(spark, tmp_path):
+    lines = ["LOCUS       A1 10 bp", "ACCESSION   A1", "//", "LOCUS       A2 10 bp", "ACCESSION   A2", "//", ""]
+    for name, end in (("unix", "\n"), ("dos", "\r\n")):
+        (tmp_path / name).write_bytes(end.join(lines).encode())
+        blocks = [r.value for r in flatfile.flat_blocks(spark, str(tmp_path / name)).collect()]
+        assert [b.split("\n")[0] for b in blocks] == ["LOCUS       A1 10 bp", "LOCUS       A2 10 bp"]
+
+
+def test_deleting_a_family_keeps_entries_without_one(spark):
+    from sparkcurate.operators import ledger
+
+    book = spark.createDataFrame([("a", None), ("b", "x"), ("c", "y")], "request_key string, family string")
+    assert sorted(r.request_key for r in ledger.without_family(book, "x").collect()) == ["a", "c"]
