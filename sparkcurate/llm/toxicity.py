@@ -36,7 +36,7 @@ from .common import Scratch, slices, text_or_empty
 DECAY = 0.6
 PIECE, OVERLAP = 20, 8
 SENTENCE_WORDS = 32
-MEMORY = 400_000
+MEMORY = 250_000
 #: Hashed letter pairs of the kernel's filter, and the share of a landmark's pairs that a word must have.
 PAIR_SLOTS = 256
 SHARED = 0.4
