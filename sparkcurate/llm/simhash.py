@@ -87,8 +87,12 @@ def block_masks(bits: int, spare: int = SPARE_BLOCKS) -> list[int]:
 
 
 def close_links(values: DataFrame, bits: int, scratch: Scratch, bucket_rows: int = BUCKET_ROWS,
-                spare: int = SPARE_BLOCKS) -> DataFrame:
-    """values: distinct `fp`. Links a, b whose closure joins exactly the fingerprints at <= bits bits."""
+                spare: int = SPARE_BLOCKS, heads: bool = False) -> DataFrame:
+    """values: distinct `fp`. Links a, b whose closure joins exactly the fingerprints at <= bits bits.
+
+    heads: for callers that verify links by their texts. Members of a full bucket are then proposed to four
+    of them (the ends of two orders), whatever their distance, instead of being tied through neighbours.
+    """
     keys = F.array(*(
         F.struct(F.lit(i).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
         for i, m in enumerate(block_masks(bits, spare))))
@@ -100,6 +104,14 @@ def close_links(values: DataFrame, bits: int, scratch: Scratch, bucket_rows: int
     right = few.select("table", "key", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
     pairs = left.join(right, ["table", "key"]).filter((F.col("a") < F.col("b")) & near).select("a", "b")
+    if heads:
+        full = placed.filter(F.col("n") > bucket_rows)
+        lot = F.xxhash64("fp")
+        ends = scratch.store(full.groupBy("table", "key").agg(F.array(
+            F.min("fp"), F.max("fp"), F.min_by("fp", lot), F.max_by("fp", lot)).alias("ends")))
+        stars = full.join(ends, ["table", "key"]).select(
+            F.col("fp").alias("a"), F.explode(F.array_distinct("ends")).alias("b")).filter("a <> b")
+        return pairs.unionByName(stars).distinct()
     hot = placed.filter(F.col("n") > bucket_rows).select("fp").distinct()
     return pairs.distinct().unionByName(_hot_links(hot, bits))
 
@@ -201,6 +213,7 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int =
     by many for other texts of a language. Six of them propose pairs at `bits` or fewer (a pair with a
     similarity of 0.8 or more is missed by all six in less than one case in fifty); a proposal counts if the
     Jaccard similarity of the shingle sets reaches `similarity`. Equal texts are one class from the start.
+    In full buckets texts are proposed to four of their members, up to 144 proposals for each text in all.
     """
     scratch = Scratch(docs.sparkSession)
     key = F.unhex(F.md5(text_or_empty(text)))
@@ -213,7 +226,7 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int =
         named = nodes.select("key", F.col(f"f{i}").alias("fp"))
         heads = scratch.store(named.groupBy("fp").agg(F.min("key").alias("head")))
         equal = named.join(heads, "fp").select(F.col("key").alias("a"), F.col("head").alias("b"))
-        close = close_links(heads.select("fp"), bits, scratch, spare=2)
+        close = close_links(heads.select("fp"), bits, scratch, spare=2, heads=True)
         of = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
         tied = close.join(of("a"), "a").join(of("b"), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
         both = equal.unionByName(tied).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
