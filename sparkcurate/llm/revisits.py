@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.scale import small_side
 from .common import Scratch
 
 #: Headers that a 304 response may update (fixed by RFC 9110).
@@ -77,10 +76,10 @@ def resolve_revisits(records: DataFrame, slots: int = SLOTS) -> DataFrame:
         "record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured_at",
         F.col("captured_at").cast("double").alias("at"), (F.col("status") == 200).alias("full"),
         _lower_keys(F.col("headers")).alias("headers"), "payload_digest"))
-    span = scratch.store(slim.agg(F.min("at").alias("low"), F.max("at").alias("high")))
-    width = (F.col("high") - F.col("low")) / slots
-    slot = F.when(width > 0, F.floor((F.col("at") - F.col("low")) / width)).otherwise(F.lit(0)).cast("bigint")
-    placed = slim.join(small_side(span, written=True)).withColumn("slot", slot).drop("low", "high")
+    span = slim.agg(F.min("at").alias("low"), F.max("at").alias("high")).first()
+    low, width = span["low"] or 0.0, ((span["high"] or 0.0) - (span["low"] or 0.0)) / slots
+    slot = F.floor((F.col("at") - low) / width) if width > 0 else F.lit(0)
+    placed = slim.withColumn("slot", slot.cast("bigint"))
     found = F.struct("at", F.col("record_id").alias("id"), "headers_list", "payload_digest")
     # Maps don't compare, so headers travel as sorted entries.
     placed = scratch.store(placed.withColumn("headers_list", F.array_sort(F.map_entries("headers"))).drop("headers"))
