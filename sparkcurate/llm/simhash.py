@@ -86,16 +86,11 @@ def block_masks(bits: int, spare: int = SPARE_BLOCKS) -> list[int]:
     return out
 
 
-def close_links(values: DataFrame, bits: int, scratch: Scratch, bucket_rows: int = BUCKET_ROWS,
-                spare: int = SPARE_BLOCKS, heads: bool = False) -> DataFrame:
-    """values: distinct `fp`. Links a, b whose closure joins exactly the fingerprints at <= bits bits.
-
-    heads: for callers that verify links by their texts. Members of a full bucket are then proposed to four
-    of them (the ends of two orders), whatever their distance, instead of being tied through neighbours.
-    """
+def close_links(values: DataFrame, bits: int, scratch: Scratch, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """values: distinct `fp`. Links a, b whose closure joins exactly the fingerprints at <= bits bits."""
     keys = F.array(*(
         F.struct(F.lit(i).alias("table"), F.col("fp").bitwiseAND(F.lit(m)).alias("key"))
-        for i, m in enumerate(block_masks(bits, spare))))
+        for i, m in enumerate(block_masks(bits))))
     keyed = scratch.store(values.select("fp", F.explode(keys).alias("k")).select("k.table", "k.key", "fp"))
     sizes = scratch.store(keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     placed = scratch.store(keyed.join(sizes, ["table", "key"]))
@@ -104,14 +99,6 @@ def close_links(values: DataFrame, bits: int, scratch: Scratch, bucket_rows: int
     right = few.select("table", "key", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
     pairs = left.join(right, ["table", "key"]).filter((F.col("a") < F.col("b")) & near).select("a", "b")
-    if heads:
-        full = placed.filter(F.col("n") > bucket_rows)
-        lot = F.xxhash64("fp")
-        ends = scratch.store(full.groupBy("table", "key").agg(F.array(
-            F.min("fp"), F.max("fp"), F.min_by("fp", lot), F.max_by("fp", lot)).alias("ends")))
-        stars = full.join(ends, ["table", "key"]).select(
-            F.col("fp").alias("a"), F.explode(F.array_distinct("ends")).alias("b")).filter("a <> b")
-        return pairs.unionByName(stars).distinct()
     hot = placed.filter(F.col("n") > bucket_rows).select("fp").distinct()
     return pairs.distinct().unionByName(_hot_links(hot, bits))
 
@@ -205,6 +192,71 @@ def _similar(least: float):
     return run
 
 
+def _buckets(nodes: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
+    """Texts (key, f0..) in all buckets of two or more: table, block, fp, key, n (texts in the bucket).
+
+    A table is one fingerprint and two of its bits + 2 blocks.
+    """
+    masks = block_masks(bits, spare=2)
+    keys = F.array(*(
+        F.struct(F.lit(i * len(masks) + j).alias("table"), F.col(f"f{i}").bitwiseAND(F.lit(m)).alias("block"),
+                 F.col(f"f{i}").alias("fp"))
+        for i in range(len(SEEDS)) for j, m in enumerate(masks)))
+    keyed = nodes.select("key", F.explode(keys).alias("k")).select("k.table", "k.block", "k.fp", "key")
+    sizes = scratch.store(keyed.groupBy("table", "block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return scratch.store(keyed.join(sizes, ["table", "block"]))
+
+
+def _close_pairs(placed: DataFrame, bits: int, by: str) -> DataFrame:
+    """Pairs a, b of one bucket at `bits` or fewer bits whose `by` differs."""
+    side = lambda c: placed.select(
+        "table", "block", F.col("key").alias(c), F.col("fp").alias(f"fp_{c}"), F.col(by).alias(f"by_{c}"))
+    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits
+    return side("a").join(side("b"), ["table", "block"]).filter((F.col("by_a") < F.col("by_b")) & near).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _verified(links: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """The links whose texts reach the Jaccard similarity of their shingle sets."""
+    linked = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key"))).distinct()
+    sets = scratch.store(rows.select("key", "__text").join(linked, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(
+        _shingle_sets(shingle), "key binary, shingles binary"))
+    side = lambda c, name: sets.select(F.col("key").alias(c), F.col("shingles").alias(name))
+    return scratch.store(links.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(
+        _similar(similarity), "a binary, b binary"))
+
+
+def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
+                    bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """rows: key, __text. Returns node, root (least key) of the classes of two or more similar texts.
+
+    Buckets of up to `bucket_rows` texts propose all their pairs at `bits` or fewer bits. In fuller ones each
+    text is first proposed to the least of the bucket. What that ties is one class, and a full bucket of one
+    class is settled. In those that hold several classes all close pairs of different classes are proposed
+    next, so no link at `bits` bits goes unverified unless its ends are in one class already.
+    """
+    printed = rows.mapInArrow(_wordings, "key binary, " + ", ".join(f"f{i} bigint" for i in range(len(SEEDS))))
+    placed = _buckets(scratch.store(printed.dropDuplicates(["key"])), bits, scratch)
+    full = placed.filter(F.col("n") > bucket_rows)
+    least = scratch.store(full.groupBy("table", "block").agg(F.min("key").alias("a")))
+    stars = full.join(least, ["table", "block"]).select("a", F.col("key").alias("b")).filter("a <> b")
+    pairs = _close_pairs(placed.filter(F.col("n") <= bucket_rows), bits, by="key")
+    first = _verified(scratch.store(pairs.unionByName(stars).distinct()), rows, shingle, similarity, scratch)
+    classes = scratch.store(components(first, scratch))
+
+    owned = full.join(classes.withColumnRenamed("node", "key"), "key", "left").select(
+        "table", "block", "fp", "key", F.coalesce("root", "key").alias("class"))
+    owned = scratch.store(owned)
+    mixed = owned.groupBy("table", "block").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    mixed = mixed.filter("lo <> hi").select("table", "block")
+    across = scratch.store(_close_pairs(scratch.store(owned.join(mixed, ["table", "block"])), bits, by="class"))
+    if across.isEmpty():
+        return classes
+    second = _verified(across, rows, shingle, similarity, scratch)
+    stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(stars.unionByName(second), scratch)
+
+
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int = 5, similarity: float = 0.8,
                      bits: int = 2, text: str = "text") -> DataFrame:
     """Rows of docs without the near copies: of each class the row with the least id stays.
@@ -213,32 +265,12 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int =
     by many for other texts of a language. Six of them propose pairs at `bits` or fewer (a pair with a
     similarity of 0.8 or more is missed by all six in less than one case in fifty); a proposal counts if the
     Jaccard similarity of the shingle sets reaches `similarity`. Equal texts are one class from the start.
-    In full buckets texts are proposed to four of their members, up to 144 proposals for each text in all.
     """
     scratch = Scratch(docs.sparkSession)
     key = F.unhex(F.md5(text_or_empty(text)))
     rows = docs.select(F.col(id_column).alias("id"), key.alias("key"), text_or_empty(text).alias("__text"))
-    printed = rows.select("key", "__text").mapInArrow(
-        _wordings, "key binary, " + ", ".join(f"f{i} bigint" for i in range(len(SEEDS))))
-    nodes = scratch.store(printed.dropDuplicates(["key"]))
-    links = None
-    for i in range(len(SEEDS)):
-        named = nodes.select("key", F.col(f"f{i}").alias("fp"))
-        heads = scratch.store(named.groupBy("fp").agg(F.min("key").alias("head")))
-        equal = named.join(heads, "fp").select(F.col("key").alias("a"), F.col("head").alias("b"))
-        close = close_links(heads.select("fp"), bits, scratch, spare=2, heads=True)
-        of = lambda c: heads.select(F.col("fp").alias(c), F.col("head").alias(f"head_{c}"))
-        tied = close.join(of("a"), "a").join(of("b"), "b").select(F.col("head_a").alias("a"), F.col("head_b").alias("b"))
-        both = equal.unionByName(tied).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        links = both if links is None else links.unionByName(both)
-    links = scratch.store(links.distinct())
-    linked = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key"))).distinct()
-    sets = scratch.store(rows.select("key", "__text").join(linked, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(
-        _shingle_sets(shingle), "key binary, shingles binary"))
-    side = lambda c, name: sets.select(F.col("key").alias(c), F.col("shingles").alias(name))
-    sure = links.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(
-        _similar(similarity), "a binary, b binary")
-    classes = components(sure, scratch).withColumnRenamed("node", "key")
+    classes = similar_classes(rows.select("key", "__text"), shingle, similarity, bits, scratch)
+    classes = classes.withColumnRenamed("node", "key")
     owners = scratch.store(rows.groupBy("key").agg(F.min("id").alias("id")))
     rooted = owners.join(classes, "key", "left").select("id", "key", F.coalesce("root", "key").alias("root"))
     stays = rooted.groupBy("root").agg(F.min(F.struct("id", "key")).alias("s")).select(
