@@ -178,6 +178,35 @@ def _shingle_sets(shingle: int):
     return run
 
 
+def _shingle_rows(shingle: int):
+    """One row per text and shingle: key, shingle, n (shingles of the text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, piece in slices(batch.column("__text")):
+                for i, text in enumerate(piece, start):
+                    found = shingle_set(text, shingle).view(np.int64)
+                    at = pa.array(np.full(len(found), i))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("key").take(at), pa.array(found), pa.array(np.full(len(found), len(found)))],
+                        ["key", "shingle", "n"])
+
+    return run
+
+
+def _commonness(hot: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -> DataFrame:
+    """Of each hot text: key, size (shingles), shared (those in another hot text too), odd (rarity, 1: all its own).
+
+    The text that others were made from by small edits is the least odd one.
+    """
+    told = rows.join(hot, "key", "left_semi").dropDuplicates(["key"])
+    cut = scratch.store(told.mapInArrow(_shingle_rows(shingle), "key binary, shingle bigint, n bigint"))
+    common = cut.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    return scratch.store(cut.join(common, "shingle").groupBy("key").agg(
+        F.max("n").alias("size"), F.count_if(F.col("texts") > 1).alias("shared"),
+        F.round(F.sum(1 / (F.col("texts") * F.col("n"))), 9).alias("odd")))
+
+
 def _similar(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,13 +236,20 @@ def _buckets(nodes: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
     return scratch.store(keyed.join(sizes, ["table", "block"]))
 
 
-def _close_pairs(placed: DataFrame, bits: int, by: str) -> DataFrame:
-    """Pairs a, b of one bucket at `bits` or fewer bits whose `by` differs."""
-    side = lambda c: placed.select(
-        "table", "block", F.col("key").alias(c), F.col("fp").alias(f"fp_{c}"), F.col(by).alias(f"by_{c}"))
-    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits
-    return side("a").join(side("b"), ["table", "block"]).filter((F.col("by_a") < F.col("by_b")) & near).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _close_pairs(placed: DataFrame, bits: int, by: str, similarity: float | None = None) -> DataFrame:
+    """Pairs a, b of one bucket at `bits` or fewer bits whose `by` differs.
+
+    With a similarity, rows carry size and shared, and pairs that can't reach it are left out: two texts have
+    no more shingles in common than either shares with any other text.
+    """
+    names = [c for c in placed.columns if c not in ("table", "block")]
+    side = lambda c: placed.select("table", "block", *(F.col(n).alias(f"{n}_{c}") for n in names))
+    wanted = (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits) & (F.col(f"{by}_a") < F.col(f"{by}_b"))
+    if similarity is not None:
+        most = F.least("shared_a", "shared_b")
+        wanted &= most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
+    return side("a").join(side("b"), ["table", "block"]).filter(wanted).select(
+        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
 
 
 def _verified(links: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
@@ -231,25 +267,30 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     """rows: key, __text. Returns node, root (least key) of the classes of two or more similar texts.
 
     Buckets of up to `bucket_rows` texts propose all their pairs at `bits` or fewer bits. In fuller ones each
-    text is first proposed to the least of the bucket. What that ties is one class, and a full bucket of one
-    class is settled. In those that hold several classes all close pairs of different classes are proposed
-    next, so no link at `bits` bits goes unverified unless its ends are in one class already.
+    text is first proposed to the one with the most common shingles, mostly the text that the others were
+    made from. What that ties is one class, and a full bucket of one class is settled. In those that hold several classes all close pairs of different classes are proposed
+    next, but for those whose counts of shingles with a like rule the similarity out. So no link at `bits` bits
+    goes unverified unless its ends are in one class already.
     """
     printed = rows.mapInArrow(_wordings, "key binary, " + ", ".join(f"f{i} bigint" for i in range(len(SEEDS))))
     placed = _buckets(scratch.store(printed.dropDuplicates(["key"])), bits, scratch)
     full = placed.filter(F.col("n") > bucket_rows)
-    least = scratch.store(full.groupBy("table", "block").agg(F.min("key").alias("a")))
-    stars = full.join(least, ["table", "block"]).select("a", F.col("key").alias("b")).filter("a <> b")
-    pairs = _close_pairs(placed.filter(F.col("n") <= bucket_rows), bits, by="key")
+    known = _commonness(full.select("key").distinct(), rows, shingle, scratch)
+    hubs = full.join(known, "key").groupBy("table", "block").agg(F.min(F.struct("odd", "key")).alias("hub"))
+    hubs = scratch.store(hubs.select("table", "block", F.col("hub.key").alias("a")))
+    stars = full.join(hubs, ["table", "block"]).filter("a <> key").select(
+        F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
+    pairs = _close_pairs(placed.filter(F.col("n") <= bucket_rows).drop("n"), bits, "key")
     first = _verified(scratch.store(pairs.unionByName(stars).distinct()), rows, shingle, similarity, scratch)
     classes = scratch.store(components(first, scratch))
 
-    owned = full.join(classes.withColumnRenamed("node", "key"), "key", "left").select(
-        "table", "block", "fp", "key", F.coalesce("root", "key").alias("class"))
-    owned = scratch.store(owned)
+    # A text that shares less than `similarity` of its shingles with all others is like none of them.
+    able = known.filter(F.col("shared") >= similarity * F.col("size") - 1e-6)
+    owned = scratch.store(full.join(able, "key").join(classes.withColumnRenamed("node", "key"), "key", "left").select(
+        "table", "block", "fp", "key", "size", "shared", F.coalesce("root", "key").alias("class")))
     mixed = owned.groupBy("table", "block").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
     mixed = mixed.filter("lo <> hi").select("table", "block")
-    across = scratch.store(_close_pairs(scratch.store(owned.join(mixed, ["table", "block"])), bits, by="class"))
+    across = scratch.store(_close_pairs(scratch.store(owned.join(mixed, ["table", "block"])), bits, "class", similarity))
     if across.isEmpty():
         return classes
     second = _verified(across, rows, shingle, similarity, scratch)

@@ -149,6 +149,35 @@ def test_one_of_each_class_of_near_copies_stays(docs, rows, empty):
     assert simhash.keep_one_of_each(empty).count() == 0
 
 
+def test_full_buckets_of_texts_lose_no_link(spark):
+    """Edits of one text, many too far from it but close to each other, against all pairs by brute force."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(90)]
+    texts = {" ".join(base)}
+    for _ in range(60):
+        words = list(base)
+        for _ in range(rng.randint(1, 3)):
+            words[rng.randrange(8) * 11] = f"x{rng.randrange(2)}"
+        texts.add(" ".join(words))
+    texts = sorted(t.encode() for t in texts)
+    keys = [i.to_bytes(16, "big") for i in range(len(texts))]
+    rows = spark.createDataFrame(list(zip(keys, [t.decode() for t in texts])), "key binary, __text string")
+    got = {bytes(r.node): bytes(r.root) for r in simhash.similar_classes(rows, 5, 0.8, 2, Scratch(spark), 3).collect()}
+    prints = [simhash.wording_fingerprints(t) for t in texts]
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    owner = dict(zip(keys, keys))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        near = any((a ^ b).bit_count() <= 2 for a, b in zip(prints[i], prints[j]))
+        like = len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+        if near and like and owner[keys[i]] != owner[keys[j]]:
+            low, high = sorted((owner[keys[i]], owner[keys[j]]))
+            owner = {k: low if o == high else o for k, o in owner.items()}
+    merged = {}
+    for k in keys:  # links to a hub count at any distance in bits, so classes may only be larger
+        merged.setdefault(owner[k], set()).add(got.get(k, k))
+    assert all(len(roots) == 1 for roots in merged.values()) and len(merged) > 1
+
+
 def test_token_counts_and_cache(spark, docs, rows, empty, tmp_path):
     from tokenizers import Tokenizer
 
