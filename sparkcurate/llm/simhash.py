@@ -25,7 +25,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices, text_or_empty
@@ -36,6 +36,8 @@ BUCKET_ROWS = 32
 SPARE_BLOCKS = 4
 #: Seeds of the word fingerprints that propose texts of similar wording.
 SEEDS = (42, 43, 44, 45, 46, 47)
+#: Parts of the shingle hashes in which the shingles that texts share are counted.
+PARTS = 32
 # Hashes counted at once: eight bytes become 64 counters.
 CHUNK = 1 << 15
 
@@ -195,15 +197,17 @@ def _shingle_rows(shingle: int):
 
 
 def _commonness(hot: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -> DataFrame:
-    """Of each hot text: key, size (shingles), shared (those in another hot text too), odd (rarity, 1: all its own).
+    """Of each hot text: key, size (shingles), shared (those in another hot text too, per part), odd (rarity).
 
-    The text that others were made from by small edits is the least odd one.
+    The text that others were made from by small edits is the least odd one; 1 means all shingles are its own.
     """
     told = rows.join(hot, "key", "left_semi").dropDuplicates(["key"])
     cut = scratch.store(told.mapInArrow(_shingle_rows(shingle), "key binary, shingle bigint, n bigint"))
     common = cut.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
+    part = F.pmod("shingle", F.lit(PARTS))
+    shared = F.array(*(F.count_if((F.col("texts") > 1) & (part == p)).cast("int") for p in range(PARTS)))
     return scratch.store(cut.join(common, "shingle").groupBy("key").agg(
-        F.max("n").alias("size"), F.count_if(F.col("texts") > 1).alias("shared"),
+        F.max("n").alias("size"), shared.alias("shared"),
         F.round(F.sum(1 / (F.col("texts") * F.col("n"))), 9).alias("odd")))
 
 
@@ -236,17 +240,21 @@ def _buckets(nodes: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
     return scratch.store(keyed.join(sizes, ["table", "block"]))
 
 
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
 def _close_pairs(placed: DataFrame, bits: int, by: str, similarity: float | None = None) -> DataFrame:
     """Pairs a, b of one bucket at `bits` or fewer bits whose `by` differs.
 
-    With a similarity, rows carry size and shared, and pairs that can't reach it are left out: two texts have
-    no more shingles in common than either shares with any other text.
+    With a similarity, rows carry size and shared, and pairs that can't reach it are left out: in each part two
+    texts have no more shingles in common than either shares with any other text.
     """
     names = [c for c in placed.columns if c not in ("table", "block")]
     side = lambda c: placed.select("table", "block", *(F.col(n).alias(f"{n}_{c}") for n in names))
     wanted = (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits) & (F.col(f"{by}_a") < F.col(f"{by}_b"))
     if similarity is not None:
-        most = F.least("shared_a", "shared_b")
+        most = _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b)))
         wanted &= most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
     return side("a").join(side("b"), ["table", "block"]).filter(wanted).select(
         F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
@@ -285,7 +293,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     classes = scratch.store(components(first, scratch))
 
     # A text that shares less than `similarity` of its shingles with all others is like none of them.
-    able = known.filter(F.col("shared") >= similarity * F.col("size") - 1e-6)
+    able = known.filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6)
     owned = scratch.store(full.join(able, "key").join(classes.withColumnRenamed("node", "key"), "key", "left").select(
         "table", "block", "fp", "key", "size", "shared", F.coalesce("root", "key").alias("class")))
     mixed = owned.groupBy("table", "block").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
