@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .qc import flag_length_outliers
-from .scale import as_list
+from .scale import as_list, small_side
 
 
 def raw_concat(genome_markers: DataFrame, keys: Sequence[str] = ("family", "species", "genome_id")) -> DataFrame:
@@ -55,7 +55,8 @@ def concatenate(aligned: DataFrame, genomes: DataFrame) -> DataFrame:
     parts = aligned.groupBy("family", "genome_id").agg(
         F.map_from_entries(F.collect_list(F.struct("marker", "aln"))).alias("parts")
     )
-    joined = genomes.join(parts, ["family", "genome_id"], "left").join(blocks, "family")
+    # the block list goes to the genomes: a large family is not shuffled to one task
+    joined = genomes.join(parts, ["family", "genome_id"], "left").join(small_side(blocks), "family")
     cell = F.transform(
         "blocks",
         lambda b: F.coalesce(
