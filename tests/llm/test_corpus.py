@@ -361,6 +361,42 @@ def test_leaks_and_paraphrases(spark, empty):
     assert decontamination.find_leaks(docs, bench.filter("false"), ["doc_id"]).count() == 0
 
 
+def test_items_longer_than_a_window_are_found(spark):
+    """Verbatim and reworded copies of items of 49 to 500 words, at any place of the hosts."""
+    rng = random.Random(21)
+    names = ["".join(rng.choices("abcdefghiklmnoprstuv", k=6)) for _ in range(6000)]
+    sizes = [49, 64, 150, 200, 200, 300, 500, 500]
+    items = [(i, " ".join(rng.choices(names, k=n - 6)) + ". " + " ".join(rng.choices(names, k=6)) + ".")
+             for i, n in enumerate(sizes)]
+    around = lambda t: " ".join([*rng.choices(names, k=rng.randrange(80)), t, *rng.choices(names, k=150)])
+    reworded = lambda t: " ".join(rng.choice(names) if rng.random() < 0.15 else w for w in t.split())
+    texts = [(i, around(t)) for i, t in items] + [(100 + i, around(reworded(t))) for i, t in items]
+    texts += [(200 + i, around("")) for i in range(30)]
+    # one passage of a long item is no leak
+    texts += [(300 + i, around(" ".join(t.split()[:60]))) for i, t in items if sizes[i] >= 200]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.find_leaks(docs, bench, ["doc_id"]).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert {(i, i) for i, _ in items} <= got and len(got & {(100 + i, i) for i, _ in items}) >= 6
+    assert all(d < 200 and d % 100 == i for d, i in got) and len(found) == len(got)
+    assert all(r.lcs_share == r.answer_share == 1.0 for r in found if r.doc_id < 100)
+    left = {r.doc_id for r in decontamination.drop_leaks(docs, bench).collect()}
+    assert left == {d for d, _ in texts} - {d for d, _ in got}
+
+
+def test_common_subsequences_of_long_texts_in_parts(monkeypatch):
+    rng = random.Random(3)
+    for _ in range(20):
+        a, b = ([b"%d" % rng.randrange(9) for _ in range(rng.randrange(1, 60))] for _ in range(2))
+        whole = decontamination.common_positions(a, b)
+        monkeypatch.setattr(decontamination, "CELLS", 100)
+        parts = decontamination.common_positions(a, b)
+        monkeypatch.undo()
+        at = iter(b)
+        assert len(parts) == len(whole) and parts == sorted(set(parts)) and all(a[p] in at for p in parts)
+
+
 def test_revisits_match_brute_force(spark):
     rng = random.Random(11)
     rows = []
