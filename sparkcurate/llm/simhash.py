@@ -211,6 +211,63 @@ def _commonness(hot: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch)
         F.round(F.sum(1 / (F.col("texts") * F.col("n"))), 9).alias("odd")))
 
 
+def _prefixes(shingle: int, similarity: float):
+    """Per text the least of its shingle hashes, as many as it can't lose to a text of that similarity, and one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, piece in slices(batch.column("__text")):
+                sets = [shingle_set(t, shingle) for t in piece]
+                heads = [s[: len(s) - int(np.ceil(similarity * len(s) - 1e-6)) + 1].view(np.int64) for s in sets]
+                ends = np.cumsum([0, *(len(h) for h in heads)])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(start, len(piece)), pa.array([len(s) for s in sets], pa.int32()),
+                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads)))],
+                    ["key", "size", "heads"])
+
+    return run
+
+
+def _prefix_pairs(placed: DataFrame, similarity: float) -> DataFrame:
+    """Pairs a, b of different classes that have a shingle of their prefixes in common and can reach the similarity.
+
+    At the first common shingle what is left of either text bounds what they share; with `shared` so do the counts
+    in each part.
+    """
+    names = [c for c in placed.columns if c != "block"]
+    side = lambda c: placed.select("block", *(F.col(n).alias(f"{n}_{c}") for n in names))
+    most = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
+    if "shared" in names:
+        most = F.least(most, _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b))))
+    able = most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
+    return side("a").join(side("b"), "block").filter((F.col("class_a") < F.col("class_b")) & able).select(
+        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+
+
+def _prefix_links(rows: DataFrame, classes: DataFrame, shingle: int, similarity: float, scratch: Scratch,
+                  bucket_rows: int) -> DataFrame:
+    """All pairs of different classes that reach the similarity.
+
+    Two sets of Jaccard similarity s have an element in common among the least n - ceil(s n) + 1 of each, in any
+    order of the elements (Chaudhuri et al., "A Primitive Operator for Similarity Joins", 2006).
+    """
+    cut = rows.mapInArrow(_prefixes(shingle, similarity), "key binary, size int, heads array<bigint>")
+    cut = scratch.store(cut.dropDuplicates(["key"]))
+    keyed = cut.select("key", "size", F.posexplode("heads").alias("pos", "block"))
+    sizes = scratch.store(keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    owned = keyed.join(sizes, "block").join(classes.withColumnRenamed("node", "key"), "key", "left")
+    owned = scratch.store(owned.select("block", "key", "size", "pos", "n", F.coalesce("root", "key").alias("class")))
+    mixed = owned.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
+    owned = scratch.store(owned.join(mixed.select("block"), "block", "left_semi"))
+    pairs = _prefix_pairs(owned.filter(F.col("n") <= bucket_rows).drop("n"), similarity)
+    full = owned.filter(F.col("n") > bucket_rows).drop("n")
+    known = _commonness(full.select("key").distinct(), rows, shingle, scratch)
+    # A text that shares less than `similarity` of its shingles with all others is like none of them.
+    able = known.filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6).select("key", "shared")
+    pairs = pairs.unionByName(_prefix_pairs(scratch.store(full.join(able, "key")), similarity)).distinct()
+    return _verified(scratch.store(pairs), rows, shingle, similarity, scratch)
+
+
 def _similar(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -274,6 +331,20 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """rows: key, __text. Returns node, root (least key) of the classes of two or more similar texts.
 
+    Fingerprints tie most of each class; then all other links are found by the prefixes of the shingle sets.
+    """
+    classes = _classes_by_wording(rows, shingle, similarity, bits, scratch, bucket_rows)
+    links = _prefix_links(rows, classes, shingle, similarity, scratch, bucket_rows)
+    if links.isEmpty():
+        return classes
+    stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return components(stars.unionByName(links), scratch)
+
+
+def _classes_by_wording(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
+                        bucket_rows: int) -> DataFrame:
+    """Classes (node, root) of the links between texts whose fingerprints are close.
+
     Buckets of up to `bucket_rows` texts propose all their pairs at `bits` or fewer bits. In fuller ones each
     text is first proposed to the one with the most common shingles, mostly the text that the others were
     made from. What that ties is one class, and a full bucket of one class is settled. In those that hold several classes all close pairs of different classes are proposed
@@ -311,8 +382,8 @@ def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int =
     """Rows of docs without the near copies: of each class the row with the least id stays.
 
     Fingerprints over distinct words differ by few bits for texts that share most five-word shingles, and
-    by many for other texts of a language. Six of them propose pairs at `bits` or fewer (a pair with a
-    similarity of 0.8 or more is missed by all six in less than one case in fifty); a proposal counts if the
+    by many for other texts of a language. Six of them propose pairs at `bits` or fewer, which misses some pairs; the
+    rest is proposed by shared shingles of the prefixes of the sets, which misses none. A proposal counts if the
     Jaccard similarity of the shingle sets reaches `similarity`. Equal texts are one class from the start.
     """
     scratch = Scratch(docs.sparkSession)

@@ -178,6 +178,36 @@ def test_full_buckets_of_texts_lose_no_link(spark):
     assert all(len(roots) == 1 for roots in merged.values()) and len(merged) > 1
 
 
+@pytest.mark.parametrize("bucket_rows", [2, 32])
+def test_classes_of_similar_texts_match_all_pairs(spark, bucket_rows):
+    """Chains of edits of texts of many lengths, most of them near the limit, and a line in a third of the texts."""
+    rng = random.Random(8)
+    line, texts = [f"l{i}" for i in range(12)], {b"", b"one", b"one two"}
+    for size in (8, 30, 60, 90, 150, 300, 600):
+        for _ in range(8):
+            words = [f"w{rng.randrange(5000)}" for _ in range(size)] + line * (rng.random() < 0.3)
+            for _ in range(4):
+                texts.add(" ".join(words).encode())
+                words = [f"x{rng.randrange(5000)}" if rng.random() < 0.02 else w for w in words]
+                for _ in range(size // 60):
+                    words.insert(rng.randrange(len(words)), f"x{rng.randrange(5000)}")
+    texts = sorted(texts)
+    keys = [i.to_bytes(16, "big") for i in range(len(texts))]
+    rows = spark.createDataFrame(list(zip(keys, [t.decode() for t in texts])), "key binary, __text string")
+    found = simhash.similar_classes(rows, 5, 0.8, 2, Scratch(spark), bucket_rows).collect()
+    sets = [set(simhash.shingle_set(t, 5).tolist()) for t in texts]
+    owner, banded = dict(zip(keys, keys)), 0
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+            banded += both < 0.85 * (len(sets[i]) + len(sets[j]) - both)
+            low, high = sorted((owner[keys[i]], owner[keys[j]]))
+            owner = {k: low if o == high else o for k, o in owner.items()}
+    many = Counter(owner.values())
+    assert {bytes(r.node): bytes(r.root) for r in found} == {k: o for k, o in owner.items() if many[o] > 1}
+    assert banded > 10
+
+
 def test_token_counts_and_cache(spark, docs, rows, empty, tmp_path):
     from tokenizers import Tokenizer
 
