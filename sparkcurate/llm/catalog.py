@@ -7,7 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_folder
-from . import decontamination, mixing, phrases, quality, revisits, sharding, simhash, suffixes, tokens, toxicity
+from . import (
+    alignment,
+    decontamination,
+    linkgraph,
+    merkle,
+    mixing,
+    phrases,
+    quality,
+    revisits,
+    sharding,
+    simhash,
+    suffixes,
+    tokens,
+    toxicity,
+)
 from .common import Scratch
 
 
@@ -145,6 +159,83 @@ def op10_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), ["doc_id"])
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_documents(
+        table(spark, folder, "documents").select("doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
+
+
+#: (action, host, path)
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op12_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return linkgraph.judge_urls(pages, linkgraph.rule_table(spark, URL_RULES), ["page_id"])
+
+
+def _rounds(name: str, source: str, target: str, seed: str) -> str:
+    """The rounds of one value as a chain of CTEs; the last is `name`."""
+    first = f"""
+{name}_edges AS (
+  SELECT {source} AS source, {target} AS target, n, sum(n) OVER (PARTITION BY {source}) AS total FROM edges),
+{name}_own AS (
+  SELECT host, CAST(floor({seed} * {linkgraph.SCALE} * (1 - CAST(0.85 AS DOUBLE))) AS BIGINT) AS value FROM seeds WHERE {seed} > 0),
+{name}_0 AS (SELECT * FROM {name}_own),"""
+    rounds = [f"""
+{name}_{i + 1} AS (
+  SELECT host, CAST(sum(value) AS BIGINT) AS value FROM (
+    SELECT host, value FROM {name}_own
+    UNION ALL SELECT target, CAST(floor(value * (CAST(0.85 AS DOUBLE) * n / total)) AS BIGINT)
+              FROM {name}_{i} JOIN {name}_edges ON host = source) GROUP BY host),""" for i in range(linkgraph.GraphRules().rounds)]
+    return "".join([first, *rounds])
+
+
+OP12_SQL = rf"""
+WITH cut AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+rules(action, rule_host, rule_path) AS (
+  VALUES {", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)}),
+best AS (
+  SELECT host, path, max(struct_pack(size := length(rule_host || rule_path), blocks := action = 'block',
+                                     rule := rule_host || rule_path, action := action)) AS b
+  FROM cut JOIN rules ON (host = rule_host OR host LIKE '%.' || rule_host) AND starts_with(path, rule_path)
+  GROUP BY host, path),
+ruled AS (SELECT c.*, b.b.rule AS rule, b.b.action AS action FROM cut c LEFT JOIN best b ON c.host = b.host AND c.path = b.path),
+seeds AS (
+  SELECT host, count(*) FILTER (action = 'allow') AS allowed, count(*) FILTER (action = 'block') AS blocked
+  FROM ruled WHERE rule IS NOT NULL GROUP BY host),
+links AS (
+  SELECT host AS src, html, 'http:' || regexp_replace(unnest(regexp_extract_all(coalesce(html, ''),
+    '(?is)<a(?:rea)?\s[^<>]*?href\s*=\s*["'']?\s*((?:https?:)?//[^\s"''<>]+)', 1)), '^https?:', '', 'i') AS link
+  FROM cut WHERE host <> ''),
+targets AS (
+  SELECT DISTINCT src, html, translate(regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1),
+                                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+  FROM links),
+edges AS (SELECT src, dst, count(*) AS n FROM targets WHERE src <> dst AND dst <> '' GROUP BY src, dst),
+{_rounds("trust", "src", "dst", "allowed")}
+{_rounds("distrust", "dst", "src", "blocked")}
+scores AS (
+  SELECT host, sum(t) / {linkgraph.SCALE} AS trust, sum(d) / {linkgraph.SCALE} AS distrust
+  FROM (SELECT host, value AS t, 0 AS d FROM trust_20 UNION ALL SELECT host, 0, value FROM distrust_20) GROUP BY host)
+SELECT page_id, r.host, path, rule,
+       coalesce(action, CASE WHEN distrust > trust THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust
+FROM ruled r LEFT JOIN scores s ON r.host = s.host"""
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    return merkle.document_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", ["doc_id"], tampered)
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -156,6 +247,9 @@ QUERIES = {
     "op8_phrases": op8_phrases,
     "op9_simhash": op9_simhash,
     "op10_suffixes": op10_suffixes,
+    "op11_alignment": op11_alignment,
+    "op12_url_filters": op12_url_filters,
+    "op13_merkle": op13_merkle,
 }
 
-ORACLES: dict[str, str] = {"op5_revisits": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_revisits": OP5_SQL, "op12_url_filters": OP12_SQL}
