@@ -213,7 +213,7 @@ seeds AS (
   FROM ruled WHERE rule IS NOT NULL GROUP BY host),
 links AS (
   SELECT host AS src, html, 'http:' || regexp_replace(unnest(regexp_extract_all(coalesce(html, ''),
-    '(?is)<a(?:rea)?\s[^<>]*?href\s*=\s*["'']?\s*((?:https?:)?//[^\s"''<>]+)', 1)), '^https?:', '', 'i') AS link
+    '(?is)<a(?:rea)?\s[^<>]*?\bhref\s*=\s*["'']?\s*((?:https?:)?//[^\s"''<>]+)', 1)), '^https?:', '', 'i') AS link
   FROM cut WHERE host <> ''),
 targets AS (
   SELECT DISTINCT src, html, translate(regexp_extract(link, '(?s)^.*?://([^/?#]*)', 1),
