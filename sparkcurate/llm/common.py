@@ -38,8 +38,16 @@ class Scratch:
             target.getFileSystem(conf).delete(target, True)
 
 
+def spare_name(wish: str, df: DataFrame) -> str:
+    """A column name that df does not have in any case, nor any that only adds underscores to it."""
+    name, taken = f"__{wish}", {c.lower().rstrip("_") for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
 def text_digest(name: str = "text") -> Column:

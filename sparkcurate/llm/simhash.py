@@ -18,7 +18,6 @@ shingle length hash as one sequence; repeated rows share a class; empty tables g
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -28,16 +27,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, slices, text_or_empty
+from .common import Scratch, slices, spare_name, text_or_empty
 from .components import components
-from .recurrence import mix
+from .recurrence import Scheme, Speller, mix
 
 BUCKET_ROWS = 32
 SPARE_BLOCKS = 4
-#: Seeds of the word fingerprints that propose texts of similar wording.
-SEEDS = (42, 43, 44, 45, 46, 47)
-#: Parts of the shingle hashes in which the shingles that texts share are counted.
-PARTS = 32
+#: Texts in which common shingles are looked for, and how many of those are kept; both change only the work.
+SAMPLE = 1 << 15
+COMMON = 1 << 16
+#: Bytes of shingle sets that one task compares at a time.
+SLICE_OF_SETS = 32 << 20
+SHINGLE_BASE = 0x9E3779B97F4A7C15
 # Hashes counted at once: eight bytes become 64 counters.
 CHUNK = 1 << 15
 
@@ -59,6 +60,15 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > n).tobytes(), "big")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The SimHash of values that are hashes already."""
+    ones = np.zeros(64, np.int64)
+    for start in range(0, len(hashes), CHUNK):
+        part = hashes[start : start + CHUNK].astype(">u8").view(np.uint8).reshape(-1, 8)
+        ones += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
+
+
 def _fingerprints(keep: list[str], shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,267 +144,223 @@ def near_duplicates(
     return printed.join(named, "__fp").select(F.col("__id").alias(id_column), hexed.alias("fingerprint"), "component_id")
 
 
-def wording_fingerprints(text: bytes) -> list[int]:
-    """One fingerprint per seed over the distinct words, weighted with the root of their counts."""
-    counts = Counter(text.lower().split())
-    if not counts:
-        return [0] * len(SEEDS)
-    weight = np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)))
-    once = np.fromiter((xxhash.xxh64_intdigest(w, SEEDS[0]) for w in counts), np.uint64, len(counts))
-    out = []
-    for seed in SEEDS:
-        hashes = mix(once ^ np.uint64(seed * 0x9E3779B97F4A7C15 % (1 << 64)))
-        ones = np.zeros(64)
-        for start in range(0, len(hashes), CHUNK):
-            part = hashes[start : start + CHUNK]
-            ones += weight[start : start + CHUNK] @ np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-        out.append(int.from_bytes(np.packbits(ones * 2 > weight.sum()).tobytes(), "big"))
-    return out
-
+# --------------------------------------------------------------------------
+# texts that share most of their shingles
 
-def _wordings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = [wording_fingerprints(t) for _, piece in slices(batch.column("__text")) for t in piece]
-        signed = np.array(values, np.uint64).reshape(-1, len(SEEDS)).view(np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), *(pa.array(signed[:, i]) for i in range(len(SEEDS)))],
-            ["key", *(f"f{i}" for i in range(len(SEEDS)))])
 
+def shingle_set(units: np.ndarray, shingle: int) -> np.ndarray:
+    """Sorted distinct 64-bit values of the word shingles (fewer words: the whole sequence; none: one value)."""
+    width = min(shingle, len(units))
+    total = np.zeros(max(1, len(units) - width + 1), np.uint64)
+    for j in range(width):
+        total += units[j : j + len(total)] * np.uint64(pow(SHINGLE_BASE, j + 1, 1 << 64))
+    return np.unique(mix(total))
 
-def shingle_set(text: bytes, shingle: int) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles (fewer words: the whole sequence)."""
-    words = text.lower().split()
-    n = max(1, len(words) - shingle + 1)
-    return np.unique(np.fromiter(
-        (xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle])) for i in range(n)), np.uint64, n))
 
+def _sets_of(piece: list[bytes], speller: Speller, shingle: int) -> list[np.ndarray]:
+    return [shingle_set(speller.units(t.lower()), shingle) for t in piece]
 
-def _shingle_sets(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, piece in slices(batch.column("__text")):
-                sets = [shingle_set(t, shingle).tobytes() for t in piece]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(start, len(piece)), pa.array(sets, pa.binary())], ["key", "shingles"])
 
-    return run
+def _different(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], list[bytes]]]:
+    """Keys and texts of the slices of a task, without texts that it had before (as far as it remembers)."""
+    seen: set[bytes] = set()
+    for batch in batches:
+        keys = batch.column("key").to_pylist()
+        for start, piece in slices(batch.column("__text")):
+            if len(seen) > 1_000_000:
+                seen.clear()
+            fresh = {k: t for k, t in zip(keys[start:], piece) if k not in seen}
+            seen.update(fresh)
+            if fresh:
+                yield list(fresh), list(fresh.values())
 
 
-def _shingle_rows(shingle: int):
-    """One row per text and shingle: key, shingle, n (shingles of the text)."""
+def _sampled_shingles(shingle: int):
+    """Shingles of each slice with the number of its texts that have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, piece in slices(batch.column("__text")):
-                for i, text in enumerate(piece, start):
-                    found = shingle_set(text, shingle).view(np.int64)
-                    at = pa.array(np.full(len(found), i))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("key").take(at), pa.array(found), pa.array(np.full(len(found), len(found)))],
-                        ["key", "shingle", "n"])
+        speller = Speller(Scheme("words", shingle, 0))
+        for _, piece in _different(batches):
+            found, n = np.unique(np.concatenate(_sets_of(piece, speller, shingle)), return_counts=True)
+            if len(found):
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
     return run
 
 
-def _commonness(hot: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -> DataFrame:
-    """Of each hot text: key, size (shingles), shared (those in another hot text too, per part), odd (rarity).
+def common_shingles(rows: DataFrame, shingle: int) -> np.ndarray:
+    """Shingles of four or more of SAMPLE texts, the most common last; at most COMMON of them.
 
-    The text that others were made from by small edits is the least odd one; 1 means all shingles are its own.
+    They only say which shingles a prefix takes last. Any order that is the same for all texts gives the same
+    links, so the sample and the limit change the work and never the result.
     """
-    told = rows.join(hot, "key", "left_semi").dropDuplicates(["key"])
-    cut = scratch.store(told.mapInArrow(_shingle_rows(shingle), "key binary, shingle bigint, n bigint"))
-    common = cut.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"))
-    part = F.pmod("shingle", F.lit(PARTS))
-    shared = F.array(*(F.count_if((F.col("texts") > 1) & (part == p)).cast("int") for p in range(PARTS)))
-    return scratch.store(cut.join(common, "shingle").groupBy("key").agg(
-        F.max("n").alias("size"), shared.alias("shared"),
-        F.round(F.sum(1 / (F.col("texts") * F.col("n"))), 9).alias("odd")))
-
-
-def _prefixes(shingle: int, similarity: float):
-    """Per text the least of its shingle hashes, as many as it can't lose to a text of that similarity, and one."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, piece in slices(batch.column("__text")):
-                sets = [shingle_set(t, shingle) for t in piece]
-                heads = [s[: len(s) - int(np.ceil(similarity * len(s) - 1e-6)) + 1].view(np.int64) for s in sets]
-                ends = np.cumsum([0, *(len(h) for h in heads)])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(start, len(piece)), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads)))],
-                    ["key", "size", "heads"])
-
-    return run
+    share = min(1.0, SAMPLE / max(1, rows.count()))
+    chosen = rows.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    counts = chosen.select("key", "__text").mapInArrow(_sampled_shingles(shingle), "shingle bigint, n bigint")
+    top = counts.groupBy("shingle").agg(F.sum("n").alias("n")).filter("n >= 4").orderBy(F.desc("n"), "shingle").limit(COMMON)
+    return np.array([r.shingle for r in top.collect()][::-1], np.int64).view(np.uint64)
 
 
-def _prefix_pairs(placed: DataFrame, similarity: float) -> DataFrame:
-    """Pairs a, b of different classes that have a shingle of their prefixes in common and can reach the similarity.
+def prefix_of(found: np.ndarray, similarity: float, values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The first shingles of a set, rare ones first: as many as it can't lose to a text of that similarity, and one.
 
-    At the first common shingle what is left of either text bounds what they share; with `shared` so do the counts
-    in each part.
+    `values` are the common shingles, sorted, and `ranks` their places in the order.
     """
-    names = [c for c in placed.columns if c != "block"]
-    side = lambda c: placed.select("block", *(F.col(n).alias(f"{n}_{c}") for n in names))
-    most = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
-    if "shared" in names:
-        most = F.least(most, _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b))))
-    able = most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
-    return side("a").join(side("b"), "block").filter((F.col("class_a") < F.col("class_b")) & able).select(
-        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
+    size = len(found) - int(np.ceil(similarity * len(found) - 1e-6)) + 1
+    at = np.searchsorted(values, found)
+    at[at == len(values)] = 0
+    rank = np.where(values[at] == found, ranks[at], -1) if len(values) else np.full(len(found), -1)
+    return found[np.argsort(rank, kind="stable")[:size]]
 
 
-def _prefix_links(rows: DataFrame, classes: DataFrame, shingle: int, similarity: float, scratch: Scratch,
-                  bucket_rows: int) -> DataFrame:
-    """All pairs of different classes that reach the similarity.
+def _prefixes(shingle: int, similarity: float, common: np.ndarray):
+    """Of each different text of a task: key, size (shingles), fp (SimHash over the set), heads (its prefix)."""
+    order = np.argsort(common)
 
-    Two sets of Jaccard similarity s have an element in common among the least n - ceil(s n) + 1 of each, in any
-    order of the elements (Chaudhuri et al., "A Primitive Operator for Similarity Joins", 2006).
-    """
-    cut = rows.mapInArrow(_prefixes(shingle, similarity), "key binary, size int, heads array<bigint>")
-    cut = scratch.store(cut.dropDuplicates(["key"]))
-    keyed = cut.select("key", "size", F.posexplode("heads").alias("pos", "block"))
-    sizes = scratch.store(keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    owned = keyed.join(sizes, "block").join(classes.withColumnRenamed("node", "key"), "key", "left")
-    owned = scratch.store(owned.select("block", "key", "size", "pos", "n", F.coalesce("root", "key").alias("class")))
-    mixed = owned.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi")
-    owned = scratch.store(owned.join(mixed.select("block"), "block", "left_semi"))
-    pairs = _prefix_pairs(owned.filter(F.col("n") <= bucket_rows).drop("n"), similarity)
-    full = owned.filter(F.col("n") > bucket_rows).drop("n")
-    known = _commonness(full.select("key").distinct(), rows, shingle, scratch)
-    # A text that shares less than `similarity` of its shingles with all others is like none of them.
-    able = known.filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6).select("key", "shared")
-    pairs = pairs.unionByName(_prefix_pairs(scratch.store(full.join(able, "key")), similarity)).distinct()
-    return _verified(scratch.store(pairs), rows, shingle, similarity, scratch)
-
-
-def _similar(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for left, right in zip(batch.column("left"), batch.column("right")):
-                a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (left, right))
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(both >= least * (len(a) + len(b) - both))
+        speller = Speller(Scheme("words", shingle, 0))
+        for keys, piece in _different(batches):
+            sets = _sets_of(piece, speller, shingle)
+            heads = [prefix_of(s, similarity, common[order], order).view(np.int64) for s in sets]
+            prints = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
+            ends = np.cumsum([0, *(len(h) for h in heads)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], ["a", "b"])
+                [pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(prints),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads)))],
+                ["key", "size", "fp", "heads"])
 
     return run
 
 
-def _buckets(nodes: DataFrame, bits: int, scratch: Scratch) -> DataFrame:
-    """Texts (key, f0..) in all buckets of two or more: table, block, fp, key, n (texts in the bucket).
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(Scheme("words", shingle, 0))
+        for batch in batches:
+            for start, piece in slices(batch.column("__text")):
+                sets = [s.tobytes() for s in _sets_of(piece, speller, shingle)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key").slice(start, len(piece)), pa.array(sets, pa.binary())], ["key", "shingles"])
+
+    return run
 
-    A table is one fingerprint and two of its bits + 2 blocks.
-    """
-    masks = block_masks(bits, spare=2)
-    keys = F.array(*(
-        F.struct(F.lit(i * len(masks) + j).alias("table"), F.col(f"f{i}").bitwiseAND(F.lit(m)).alias("block"),
-                 F.col(f"f{i}").alias("fp"))
-        for i in range(len(SEEDS)) for j, m in enumerate(masks)))
-    keyed = nodes.select("key", F.explode(keys).alias("k")).select("k.table", "k.block", "k.fp", "key")
-    sizes = scratch.store(keyed.groupBy("table", "block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    return scratch.store(keyed.join(sizes, ["table", "block"]))
 
+def _similar(least: float):
+    """Of the pairs of one slice: those whose sets, given beside them, reach the similarity."""
+
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        known = {k: np.frombuffer(s, np.uint64) for k, s in zip(
+            sets.column("key").to_pylist(), sets.column("shingles").to_pylist())}
+        keep = []
+        for left, right in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            a, b = known[left], known[right]
+            at = np.searchsorted(a, b)
+            both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+            keep.append(both >= least * (len(a) + len(b) - both) - 1e-9)
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-def _total(counts: Column) -> Column:
-    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+    return run
 
 
-def _close_pairs(placed: DataFrame, bits: int, by: str, similarity: float | None = None) -> DataFrame:
-    """Pairs a, b of one bucket at `bits` or fewer bits whose `by` differs.
+def verified(links: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """The links (a, b of distinct keys) whose texts reach the Jaccard similarity of their shingle sets.
 
-    With a similarity, rows carry size and shared, and pairs that can't reach it are left out: in each part two
-    texts have no more shingles in common than either shares with any other text.
+    Texts of linked keys are cut into sets once. Links meet the sets in slices of `b`: a slice gets each of its sets
+    once, however many links name it, so a hub costs one set per slice and not one per link.
     """
-    names = [c for c in placed.columns if c not in ("table", "block")]
-    side = lambda c: placed.select("table", "block", *(F.col(n).alias(f"{n}_{c}") for n in names))
-    wanted = (F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= bits) & (F.col(f"{by}_a") < F.col(f"{by}_b"))
-    if similarity is not None:
-        most = _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b)))
-        wanted &= most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
-    return side("a").join(side("b"), ["table", "block"]).filter(wanted).select(
-        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")).distinct()
-
-
-def _verified(links: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """The links whose texts reach the Jaccard similarity of their shingle sets."""
     linked = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key"))).distinct()
     sets = scratch.store(rows.select("key", "__text").join(linked, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(
-        _shingle_sets(shingle), "key binary, shingles binary"))
-    side = lambda c, name: sets.select(F.col("key").alias(c), F.col("shingles").alias(name))
-    return scratch.store(links.join(side("a", "left"), "a").join(side("b", "right"), "b").mapInArrow(
-        _similar(similarity), "a binary, b binary"))
+        _sets(shingle), "key binary, shingles binary"))
+    total = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(max(1, -(-total // SLICE_OF_SETS)))).alias("part")
+    placed = links.select("a", "b", part("b"))
+    wanted = placed.select("part", F.col("a").alias("key")).unionByName(placed.select("part", F.col("b").alias("key"))).distinct()
+    near = wanted.join(sets, "key").select(F.col("part").alias("at"), "key", "shingles")
+    found = scratch.store(placed.groupBy("part").cogroup(near.groupBy("at")).applyInArrow(_similar(similarity), "a binary, b binary"))
+    scratch.drop(sets)
+    return found
+
+
+def _able(similarity: float) -> Column:
+    """Whether a pair can reach the similarity: at the first shingle of both prefixes what is left bounds what they share."""
+    most = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
+    return most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
+
+
+def _paired(left: DataFrame, right: DataFrame, similarity: float, wanted: Column) -> DataFrame:
+    """Pairs a < b of rows of a block."""
+    side = lambda df, c: df.select("block", *(F.col(n).alias(f"{n}_{c}") for n in df.columns if n != "block"))
+    return side(left, "a").join(side(right, "b"), "block").filter(wanted & _able(similarity)).select(
+        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
 
 
 def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """rows: key, __text. Returns node, root (least key) of the classes of two or more similar texts.
-
-    Fingerprints tie most of each class; then all other links are found by the prefixes of the shingle sets.
+    """rows: key, __text. Returns node, root (least key) of the classes of texts tied by the similarity.
+
+    Two sets of Jaccard similarity s have an element in common among the first n - ceil(s n) + 1 of each, in any order
+    of the elements (Chaudhuri et al., "A Primitive Operator for Similarity Joins", 2006). With rare shingles first few
+    texts meet by chance. SimHash pairs and all pairs of blocks of up to `bucket_rows` texts are verified; in fuller
+    blocks each text is verified against the least one first. What that ties is one class, and a full block of one
+    class is settled; in the others all pairs of different classes are verified that their sizes and places allow. So
+    no pair of different texts that reaches the similarity stays in different classes.
     """
-    classes = _classes_by_wording(rows, shingle, similarity, bits, scratch, bucket_rows)
-    links = _prefix_links(rows, classes, shingle, similarity, scratch, bucket_rows)
-    if links.isEmpty():
-        return classes
-    stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(stars.unionByName(links), scratch)
-
-
-def _classes_by_wording(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
-                        bucket_rows: int) -> DataFrame:
-    """Classes (node, root) of the links between texts whose fingerprints are close.
+    common = common_shingles(rows, shingle)
+    cut = rows.mapInArrow(_prefixes(shingle, similarity, common), "key binary, size int, fp bigint, heads array<bigint>")
+    cut = scratch.store(cut.dropDuplicates(["key"]))
+    first = scratch.store(cut.groupBy("fp").agg(F.min("key").alias("key")))
+    near = close_links(first.select("fp"), bits, scratch, bucket_rows)
+    of = lambda c: first.select(F.col("fp").alias(c), F.col("key").alias(f"key_{c}"))
+    printed = near.join(of("a"), "a").join(of("b"), "b").select(
+        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+    alike = cut.select("fp", "key").join(first.withColumnRenamed("key", "a"), "fp").filter("a <> key").select("a", F.col("key").alias("b"))
 
-    Buckets of up to `bucket_rows` texts propose all their pairs at `bits` or fewer bits. In fuller ones each
-    text is first proposed to the one with the most common shingles, mostly the text that the others were
-    made from. What that ties is one class, and a full bucket of one class is settled. In those that hold several classes all close pairs of different classes are proposed
-    next, but for those whose counts of shingles with a like rule the similarity out. So no link at `bits` bits
-    goes unverified unless its ends are in one class already.
-    """
-    printed = rows.mapInArrow(_wordings, "key binary, " + ", ".join(f"f{i} bigint" for i in range(len(SEEDS))))
-    placed = _buckets(scratch.store(printed.dropDuplicates(["key"])), bits, scratch)
-    full = placed.filter(F.col("n") > bucket_rows)
-    known = _commonness(full.select("key").distinct(), rows, shingle, scratch)
-    hubs = full.join(known, "key").groupBy("table", "block").agg(F.min(F.struct("odd", "key")).alias("hub"))
-    hubs = scratch.store(hubs.select("table", "block", F.col("hub.key").alias("a")))
-    stars = full.join(hubs, ["table", "block"]).filter("a <> key").select(
-        F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
-    pairs = _close_pairs(placed.filter(F.col("n") <= bucket_rows).drop("n"), bits, "key")
-    first = _verified(scratch.store(pairs.unionByName(stars).distinct()), rows, shingle, similarity, scratch)
-    classes = scratch.store(components(first, scratch))
-
-    # A text that shares less than `similarity` of its shingles with all others is like none of them.
-    able = known.filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6)
-    owned = scratch.store(full.join(able, "key").join(classes.withColumnRenamed("node", "key"), "key", "left").select(
-        "table", "block", "fp", "key", "size", "shared", F.coalesce("root", "key").alias("class")))
-    mixed = owned.groupBy("table", "block").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    mixed = mixed.filter("lo <> hi").select("table", "block")
-    across = scratch.store(_close_pairs(scratch.store(owned.join(mixed, ["table", "block"])), bits, "class", similarity))
+    keyed = cut.select("key", "size", F.posexplode("heads").alias("pos", "block"))
+    counts = keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "size", "pos")).alias("hub")).filter("n > 1")
+    counts = scratch.store(counts)
+    placed = scratch.store(keyed.join(counts.select("block", "n"), "block"))
+    few = placed.filter(F.col("n") <= bucket_rows).drop("n")
+    full = placed.filter(F.col("n") > bucket_rows).drop("n")
+    hubs = counts.filter(F.col("n") > bucket_rows).select("block", "hub.*")
+    pairs = _paired(few, few, similarity, F.col("key_a") < F.col("key_b"))
+    stars = _paired(hubs, full, similarity, F.col("key_a") < F.col("key_b"))
+    proposals = scratch.store(printed.unionByName(alike).unionByName(pairs).unionByName(stars).distinct())
+    links = verified(proposals, rows, shingle, similarity, scratch)
+    classes = scratch.store(components(links, scratch))
+    for done in (proposals, links, cut, first):
+        scratch.drop(done)
+
+    owned = full.join(classes.withColumnRenamed("node", "key"), "key", "left")
+    owned = scratch.store(owned.select("block", "key", "size", "pos", F.coalesce("root", "key").alias("class")))
+    mixed = owned.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("block")
+    owned = scratch.store(owned.join(scratch.store(mixed), "block"))
+    across = scratch.store(_paired(owned, owned, similarity, F.col("class_a") < F.col("class_b")).distinct())
+    scratch.drop(placed)
     if across.isEmpty():
         return classes
-    second = _verified(across, rows, shingle, similarity, scratch)
-    stars = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    return components(stars.unionByName(second), scratch)
+    more = verified(across, rows, shingle, similarity, scratch)
+    return components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
 
 
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int = 5, similarity: float = 0.8,
                      bits: int = 2, text: str = "text") -> DataFrame:
     """Rows of docs without the near copies: of each class the row with the least id stays.
 
-    Fingerprints over distinct words differ by few bits for texts that share most five-word shingles, and
-    by many for other texts of a language. Six of them propose pairs at `bits` or fewer, which misses some pairs; the
-    rest is proposed by shared shingles of the prefixes of the sets, which misses none. A proposal counts if the
-    Jaccard similarity of the shingle sets reaches `similarity`. Equal texts are one class from the start.
+    A link counts if the Jaccard similarity of the sets of five-word shingles reaches `similarity`; SimHash and shared
+    shingles of rare-first prefixes propose them, and none is missed (see similar_classes). Equal texts are one class
+    from the start, a null text is an empty one, and empty texts are one class. Of rows that share the least id of a
+    class one stays. Very long texts make large sets, compared like any other; extra columns pass through.
     """
     scratch = Scratch(docs.sparkSession)
     key = F.unhex(F.md5(text_or_empty(text)))
-    rows = docs.select(F.col(id_column).alias("id"), key.alias("key"), text_or_empty(text).alias("__text"))
+    rows = docs.select(F.col(f"`{id_column}`").alias("id"), key.alias("key"), text_or_empty(text).alias("__text"))
     classes = similar_classes(rows.select("key", "__text"), shingle, similarity, bits, scratch)
     classes = classes.withColumnRenamed("node", "key")
     owners = scratch.store(rows.groupBy("key").agg(F.min("id").alias("id")))
     rooted = owners.join(classes, "key", "left").select("id", "key", F.coalesce("root", "key").alias("root"))
     stays = rooted.groupBy("root").agg(F.min(F.struct("id", "key")).alias("s")).select(
         F.col("s.id").alias("__id"), F.col("s.key").alias("__key"))
-    marked = docs.withColumns({"__own": F.col(id_column), "__own_key": key})
-    kept = marked.join(stays, (F.col("__own_key") == F.col("__key")) & F.col("__own").eqNullSafe(F.col("__id")))
-    return kept.dropDuplicates(["__own_key"]).select(*(docs[c] for c in docs.columns))
+    own, own_key = spare_name("own", docs), spare_name("own_key", docs)
+    marked = docs.withColumns({own: F.col(f"`{id_column}`"), own_key: key})
+    stays = stays.withColumnsRenamed({"__id": own + "_", "__key": own_key + "_"})
+    kept = marked.join(stays, (F.col(own_key) == F.col(own_key + "_")) & F.col(own).eqNullSafe(F.col(own + "_")))
+    return kept.dropDuplicates([own_key]).select(*(F.col(f"`{c}`") for c in docs.columns))
