@@ -36,6 +36,8 @@ from .common import Scratch, slices
 
 #: Pieces of a long text that are encoded by themselves.
 PIECE_BYTES = 1 << 16
+#: Text handed to a tokenizer at once.
+BATCH_BYTES = 1 << 18
 CUT = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
@@ -107,8 +109,10 @@ class Side:
                 parts.append(part.decode())
                 owners.append(i)
         found: list[list[np.ndarray]] = [[] for _ in texts]
-        for i, ids in zip(owners, self.coder.encode(parts)):
-            found[i].append(np.array(ids, np.int64))
+        # A library's own result takes some hundred bytes a token, so it is held for one batch only.
+        for first, stop in batches_of([len(p) for p in parts]):
+            for i, ids in zip(owners[first:stop], self.coder.encode(parts[first:stop])):
+                found[i].append(np.array(ids, np.int64))
         return [np.concatenate(f) for f in found]
 
     def covers(self, ids: np.ndarray, text: bytes) -> bool:
@@ -130,6 +134,16 @@ def pieces_of(text: bytes) -> list[bytes]:
     return out
 
 
+def batches_of(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of items of about BATCH_BYTES together."""
+    first, total = 0, 0
+    for i, size in enumerate(sizes, 1):
+        total += size
+        if total >= BATCH_BYTES or i == len(sizes):
+            yield first, i
+            first, total = i, 0
+
+
 @lru_cache(maxsize=4)
 def load_side(path: str) -> Side:
     return Side(path)
