@@ -27,7 +27,7 @@ HEADLINE = [
 
 def curation(spark, folder):
     """The flagship with the fast hash."""
-    rules = CurationRules(quality=quality.RULES, clusters=ClusterRules())
+    rules = CurationRules(quality=quality.RULES, clusters=ClusterRules(molecule="text"))
     return curate(quality.base(spark, folder), rules).selected
 
 

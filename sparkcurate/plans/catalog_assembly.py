@@ -210,7 +210,7 @@ def _g15(spark, folder):
     return concat.raw_concat(_talks(spark, folder))
 
 
-_RULES = cluster.ClusterRules(hashing="md5")
+_RULES = cluster.ClusterRules(molecule="text", hashing="md5")
 _H6 = f"""WITH {_TALKS_SQL}, {ctes(absorb_sql('b_', 'talk', _RULES))},
   kept AS MATERIALIZED (SELECT * FROM talk ANTI JOIN b_absorbed USING (family, species, accession)),
   {ctes(adaptive_sql('a_', 'kept', [5], _RULES))},
