@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .qc import flag_length_outliers
-from .scale import as_list, small_side
+from .scale import as_list, attach_groups, small_side
 
 
 def raw_concat(genome_markers: DataFrame, keys: Sequence[str] = ("family", "species", "genome_id")) -> DataFrame:
@@ -77,29 +79,89 @@ def alignment_stats(aligned: DataFrame, group: str | Sequence[str], ordinal: str
     return per.select(*as_list(group), F.col("n").alias("n_rows"), width.alias("length"), pct.alias("gap_pct"))
 
 
+def _edges(group: list[str]):
+    """Where gaps and rows begin and end: group, pos, gaps, rows (changes at that column), summed per batch of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, pos, gaps, rows = [], [], [], []
+            for i, aln in enumerate(batch.column("__aln").to_pylist()):
+                if not aln:
+                    continue
+                gap = np.zeros(len(aln) + 2, np.int8)
+                gap[1:-1] = np.frombuffer(aln.encode("utf-32-le", "surrogatepass"), np.uint32) == ord("-")
+                step = np.diff(gap)
+                turns = np.flatnonzero(step)
+                pos += [turns + 1, [1, len(aln) + 1]]
+                gaps += [step[turns], [0, 0]]
+                rows += [np.zeros(len(turns), np.int64), [1, -1]]
+                at.append(np.full(len(turns) + 2, i))
+            if at:
+                taken = pa.array(np.concatenate(at))
+                columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in (pos, gaps, rows)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(taken) for c in group), *columns], [*group, "pos", "gaps", "rows"])
+
+    return run
+
+
+def gap_segments(aligned: DataFrame, group: str | Sequence[str], aln: str = "aln") -> DataFrame:
+    """Stretches of columns with the same gaps: group, start, stop (1-based, inclusive), gaps, rows.
+
+    A row adds its runs of gaps as a beginning and an end, and a running sum over those columns where anything changes
+    gives the counts: the work grows with the runs and not with the characters. Rows may be of unequal width.
+    """
+    group = as_list(group)
+    part = aligned.select(*group, F.col(aln).alias("__aln"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in part.schema.fields[:-1])
+    edges = part.mapInArrow(_edges(group), f"{fields}, pos bigint, gaps bigint, rows bigint")
+    steps = edges.groupBy(*group, "pos").agg(F.sum("gaps").alias("gaps"), F.sum("rows").alias("rows"))
+    along = W.partitionBy(*group).orderBy("pos")
+    so_far = along.rowsBetween(W.unboundedPreceding, 0)
+    return steps.select(
+        *group, F.col("pos").alias("start"), (F.lead("pos").over(along) - 1).alias("stop"),
+        F.sum("gaps").over(so_far).alias("gaps"), F.sum("rows").over(so_far).alias("rows")).filter("rows > 0")
+
+
 def column_profile(aligned: DataFrame, group: str | Sequence[str], aln: str = "aln") -> DataFrame:
     """Share of gaps per alignment column (pos is 1-based)."""
     group = as_list(group)
-    cells = aligned.select(*group, F.posexplode(F.split(F.col(aln), "")).alias("p", "c"))
-    return cells.groupBy(*group, (F.col("p") + 1).alias("pos")).agg(
-        (F.count_if(F.col("c") == "-") / F.count(F.lit(1))).alias("gap_fraction")
-    )
+    pos = F.explode(F.sequence(F.col("start").cast("int"), F.col("stop").cast("int"))).alias("pos")
+    return gap_segments(aligned, group, aln).select(*group, pos, (F.col("gaps") / F.col("rows")).alias("gap_fraction"))
+
+
+def _cut(aln: str, names: list[str]):
+    """The kept stretches of each row, joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = []
+            for text, kept in zip(batch.column(aln).to_pylist(), batch.column("__kept").to_pylist()):
+                cut.append(text if text is None else "".join(text[s["start"] - 1 : s["stop"]] for s in kept or ()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cut, pa.string()) if c == aln else batch.column(c) for c in names], names)
+
+    return run
 
 
 def trim_gappy_columns(aligned: DataFrame, group: str | Sequence[str], max_gap: float, aln: str = "aln") -> DataFrame:
-    """Drop the columns whose share of gaps exceeds `max_gap`; adds width_before and width_after."""
+    """Drop the columns whose share of gaps exceeds `max_gap`; adds width_before and width_after.
+
+    width_after is the width of the trimmed alignment; a row that was shorter than it stays shorter.
+    """
     group = as_list(group)
-    kept = (
-        column_profile(aligned, group, aln)
-        .groupBy(*group)
-        .agg(F.array_sort(F.collect_list(F.when(F.col("gap_fraction") <= max_gap, F.col("pos")))).alias("__kept"))
-    )
-    chars = F.split(F.col(aln), "")
-    return (
-        aligned.join(kept, group)
-        .withColumn("width_before", F.length(aln))
-        .withColumn("__chars", chars)
-        .withColumn(aln, F.array_join(F.transform("__kept", lambda p: F.get(F.col("__chars"), p - 1)), ""))
-        .withColumn("width_after", F.size("__kept"))
-        .drop("__kept", "__chars")
-    )
+    along = W.partitionBy(*group).orderBy("start")
+    marked = gap_segments(aligned, group, aln).withColumn("__keep", F.col("gaps") / F.col("rows") <= max_gap)
+    turn = (F.col("__keep") != F.lag("__keep", 1, False).over(along)).cast("int")
+    stretches = marked.withColumn("__turn", turn).withColumn(
+        "__stretch", F.sum("__turn").over(along.rowsBetween(W.unboundedPreceding, 0)))
+    stretches = stretches.groupBy(*group, "__stretch").agg(
+        F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("__keep").alias("__keep"))
+    kept = F.when(F.col("__keep"), F.struct("start", "stop"))
+    plan = stretches.groupBy(*group).agg(F.array_sort(F.collect_list(kept)).alias("__kept"))
+    width = F.aggregate("__kept", F.lit(0).cast("bigint"), lambda total, s: total + s["stop"] - s["start"] + 1)
+    joined = attach_groups(aligned, plan, group).withColumn("width_before", F.length(aln)).withColumn(
+        "width_after", F.coalesce(width, F.lit(0)).cast("int"))
+    out = joined.drop("__kept")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
+    return joined.mapInArrow(_cut(aln, out.columns), fields)

@@ -42,8 +42,12 @@ def small_side(df: DataFrame, written: bool = False) -> DataFrame:
 
 
 def attach_groups(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Add the statistics of its group to every row of a large table."""
-    return df.join(small_side(stats), list(keys), how)
+    """Add the statistics of its group to every row of a large table; null keys are a group like any other."""
+    renamed = stats.withColumnsRenamed({k: f"__of_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"__of_{k}"))
+    return df.join(small_side(renamed), same, how).drop(*(f"__of_{k}" for k in keys))
 
 
 def spread_scan(df: DataFrame) -> DataFrame:
@@ -157,33 +161,23 @@ def exact_median(
     )
 
 
-def number_rows(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    lead: Sequence[str],
-    ordinal: str,
-    name: str,
-    bucket_rows: int = 1 << 20,
-) -> DataFrame:
+def number_rows(df: DataFrame, keys: str | Sequence[str], lead: Sequence[str], ordinal: str, name: str) -> DataFrame:
     """1-based running number inside each group, ordered by (lead..., ordinal).
 
-    The ordinal is cut into ranges; each range is numbered on its own and shifted
-    by the number of rows in the ranges before it.
+    A global sort gives every row a place in its partition; the rows of the group in the partitions before
+    turn that into a number without gaps. Tasks hold a range of the sorted rows, whatever the groups are like,
+    and the table of offsets has one row per partition and group in it.
     """
     keys = as_list(keys)
-    slots = [*keys, *lead, "__b"]
-    df = df.withColumn("__b", F.floor(F.col(ordinal) / bucket_rows).cast("bigint"))
-    order = W.partitionBy(*keys).orderBy(*lead, "__b").rowsBetween(W.unboundedPreceding, 0)
-    offsets = (
-        df.groupBy(*slots)
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .withColumn("__offset", F.sum("__size").over(order) - F.col("__size"))
-        .drop("__size")
-    )
-    local = F.row_number().over(W.partitionBy(*slots).orderBy(ordinal))
-    return (
-        df.withColumn("__local", local)
-        .join(offsets, slots)
-        .withColumn(name, (F.col("__local") + F.col("__offset")).cast("bigint"))
-        .drop("__b", "__local", "__offset")
-    )
+    placed = cut_lineage(df.orderBy(*keys, *lead, ordinal).withColumn("__mid", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__part", F.shiftright("__mid", 33))
+    counts = placed.groupBy(*keys, "__part").agg(F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__size"))
+    order = W.partitionBy(*keys).orderBy("__part").rowsBetween(W.unboundedPreceding, 0)
+    shifts = counts.select(
+        *(F.col(k).alias(f"__{k}") for k in keys), F.col("__part").alias("__at"),
+        (F.sum("__size").over(order) - F.col("__size") - F.col("__first") + 1).alias("__shift"))
+    same = F.col("__part") == F.col("__at")
+    for key in keys:
+        same &= F.col(key).eqNullSafe(F.col(f"__{key}"))
+    joined = placed.join(small_side(shifts), same)
+    return joined.select(*df.columns, (F.col("__mid") + F.col("__shift")).alias(name))

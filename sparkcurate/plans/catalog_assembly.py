@@ -52,24 +52,24 @@ def marker_specs(proteins_df):
     )
 
 
-PROTEINS_SQL = """prot AS (
+PROTEINS_SQL = """prot AS MATERIALIZED (
   SELECT l_linestatus AS family, l_returnflag AS species,
          CASE WHEN l_discount >= 0.095 THEN '' ELSE (CASE WHEN l_orderkey % 25 = 0 THEN 'NC_' ELSE 'GB' END) || l_orderkey END AS genome_id,
          l_orderkey || '.' || l_linenumber || '.' || l_partkey || '.' || l_suppkey AS accession, p_name AS text,
          CAST(floor(l_extendedprice) AS BIGINT) AS length, p_brand AS locus_tag, p_type AS subfamily,
          CASE WHEN l_tax < 0.005 THEN '' ELSE 'S' || l_suppkey END AS isolate, CAST(l_linenumber AS BIGINT) * 1000000000000 + l_partkey AS ordinal
   FROM lineitem JOIN part ON l_partkey = p_partkey),
-mk AS (SELECT family, name, CAST(row_number() OVER (PARTITION BY family ORDER BY name) AS INTEGER) AS marker_order
+mk AS MATERIALIZED (SELECT family, name, CAST(row_number() OVER (PARTITION BY family ORDER BY name) AS INTEGER) AS marker_order
        FROM (SELECT DISTINCT family, split_part(text, ' ', 2) AS name FROM prot)),
-matched AS (SELECT p.*, m.name AS marker, m.marker_order, m.name = 'ring' AND regexp_matches(locus_tag, '(?i)(brand#1|brand#2$)') AS hit,
+matched AS MATERIALIZED (SELECT p.*, m.name AS marker, m.marker_order, m.name = 'ring' AND regexp_matches(locus_tag, '(?i)(brand#1|brand#2$)') AS hit,
          CASE WHEN m.name = 'anvil' THEN abs(length - 30000) ELSE -length END AS fit
   FROM prot p JOIN mk m ON p.family = m.family AND (contains(lower(text), m.name) OR (m.name = 'bolt' AND contains(lower(text), 'hot'))
        OR (m.name = 'gear' AND subfamily = 'PROMO' AND contains(lower(text), 'old ')))),
-chosen AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family, genome_id, marker ORDER BY hit DESC, fit, accession, length) AS k
+chosen AS MATERIALIZED (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY family, genome_id, marker ORDER BY hit DESC, fit, accession, length) AS k
            FROM matched WHERE genome_id <> '') WHERE k = 1),
-need AS (SELECT family, count(*) AS n_markers, CAST(greatest(1, round_even(0.2::DOUBLE * count(*), 0)) AS INTEGER) AS n_required FROM mk GROUP BY family),
-cover AS (SELECT c.family, genome_id, count(*) AS n_covered, count(*) >= any_value(n_required) AS kept FROM chosen c JOIN need USING (family) GROUP BY ALL),
-kept AS (SELECT chosen.* FROM chosen SEMI JOIN (SELECT * FROM cover WHERE kept) USING (family, genome_id))"""
+need AS MATERIALIZED (SELECT family, count(*) AS n_markers, CAST(greatest(1, round_even(0.2::DOUBLE * count(*), 0)) AS INTEGER) AS n_required FROM mk GROUP BY family),
+cover AS MATERIALIZED (SELECT c.family, genome_id, count(*) AS n_covered, count(*) >= any_value(n_required) AS kept FROM chosen c JOIN need USING (family) GROUP BY ALL),
+kept AS MATERIALIZED (SELECT chosen.* FROM chosen SEMI JOIN (SELECT * FROM cover WHERE kept) USING (family, genome_id))"""
 
 
 @query("c6_marker_matches", f"WITH {PROTEINS_SQL} SELECT family, marker, subfamily, count(*) AS n, CAST(sum(length) AS BIGINT) AS total FROM matched GROUP BY ALL")
@@ -299,24 +299,33 @@ def _d4(spark, folder):
     return concat.alignment_stats(part, ["p_brand", "p_type"], "p_partkey")
 
 
-_COLS = f"""{_ALIGNED_SQL}, pos AS (SELECT family, marker, p, count(*) FILTER (WHERE substr(aln, CAST(p AS INTEGER), 1) = '-') / count(*)::DOUBLE AS gap
-  FROM (SELECT *, unnest(range(1, w + 1)) AS p FROM aligned) GROUP BY ALL)"""
+def _written(spark, folder):
+    """Whole documents as alignment rows of unequal width, blanks as gaps: language = family, source = marker."""
+    docs = table(spark, folder, "documents")
+    return docs.select(F.col("lang").alias("family"), F.col("source").alias("marker"), F.col("doc_id").alias("genome_id"),
+                       F.replace(F.coalesce("text", F.lit("")), F.lit(" "), F.lit("-")).alias("aln"))
+
+
+_COLS = """d AS (SELECT lang AS family, source AS marker, doc_id AS genome_id, replace(coalesce(text, ''), ' ', '-') AS aln FROM documents),
+ch AS MATERIALIZED (SELECT family, marker, genome_id, unnest(string_split(aln, '')) AS c, generate_subscripts(string_split(aln, ''), 1) AS p FROM d WHERE aln <> ''),
+pos AS MATERIALIZED (SELECT family, marker, p, count(*) FILTER (WHERE c = '-') / count(*)::DOUBLE AS gap FROM ch GROUP BY ALL)"""
 
 
 @query("d18_column_profile", f"WITH {_COLS} SELECT family, marker, CAST(p AS INTEGER) AS pos, round(gap, 9) AS gap_fraction FROM pos")
 def _d18(spark, folder):
-    profile = concat.column_profile(_aligned(spark, folder), ["family", "marker"])
+    profile = concat.column_profile(_written(spark, folder), ["family", "marker"])
     return profile.withColumn("gap_fraction", F.round("gap_fraction", 9))
 
 
 @query(
     "d18_gap_trim",
-    f"""WITH {_COLS} SELECT a.family, a.marker, a.genome_id, CAST(any_value(w) AS INTEGER) AS width_before, CAST(count(p) FILTER (WHERE gap <= 0.5) AS INTEGER) AS width_after,
-        coalesce(string_agg(substr(aln, CAST(p AS INTEGER), 1), '' ORDER BY p) FILTER (WHERE gap <= 0.5), '') AS aln
-        FROM aligned a JOIN pos USING (family, marker) GROUP BY a.family, a.marker, a.genome_id""",
+    f"""WITH {_COLS}, kept AS (SELECT family, marker, CAST(count(*) FILTER (WHERE gap <= 0.5) AS INTEGER) AS n FROM pos GROUP BY ALL),
+        cut AS (SELECT genome_id, string_agg(c, '' ORDER BY p) AS aln FROM ch JOIN pos USING (family, marker, p) WHERE gap <= 0.5 GROUP BY genome_id)
+        SELECT family, marker, genome_id, CAST(length(d.aln) AS INTEGER) AS width_before, coalesce(n, 0) AS width_after, coalesce(cut.aln, '') AS aln
+        FROM d LEFT JOIN kept USING (family, marker) LEFT JOIN cut USING (genome_id)""",
 )
 def _d18t(spark, folder):
-    trimmed = concat.trim_gappy_columns(_aligned(spark, folder), ["family", "marker"], 0.5)
+    trimmed = concat.trim_gappy_columns(_written(spark, folder), ["family", "marker"], 0.5)
     return trimmed.select("family", "marker", "genome_id", "width_before", "width_after", "aln")
 
 

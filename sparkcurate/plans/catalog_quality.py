@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
 from ..operators import qc, sample, stats
+from ..operators.scale import attach_groups
 from .curate import id_map, short_ids
 from .registry import RECORDS_SQL, query, records, table
 
@@ -400,9 +400,9 @@ def _f1(spark, folder):
 )
 def _f2(spark, folder):
     counts = sample.species_counts(table(spark, folder, "part"), ["p_type"], "p_brand")
-    share = counts.withColumn("__x", F.col("n_reps") / F.sum("n_reps").over(W.partitionBy("p_type")) * F.lit(40))
-    by_fraction = W.partitionBy("p_type").orderBy(F.desc(F.col("__x") - F.floor("__x")), "p_brand")
-    return share.select("p_type", "p_brand", F.row_number().over(by_fraction).alias("remainder_rank"))
+    totals = counts.groupBy("p_type").agg(F.sum("n_reps").alias("__total"))
+    shares = attach_groups(counts, totals, ["p_type"]).withColumn("__x", F.col("n_reps") / F.col("__total") * F.lit(40))
+    return sample.fraction_order(shares, ["p_type"], "p_brand", "__x", "remainder_rank").select("p_type", "p_brand", "remainder_rank")
 
 
 @query(

@@ -47,14 +47,22 @@ def test_length_summary_cases(spark):
 
 
 def test_running_numbers_over_many_ranges(spark):
-    rows = [(f, s, i) for i, (f, s) in enumerate([("x", "a"), ("x", "b"), ("y", "a")] * 40)]
-    df = spark.createDataFrame(rows, "f string, s string, o bigint")
-    got = {r.o: r.n for r in scale.number_rows(df, "f", ["s"], "o", "n", bucket_rows=7).collect()}
-    for fam in "xy":
+    rows = [(f, s, i) for i, (f, s) in enumerate([("x", "a"), ("x", "b"), ("y", "a"), (None, "c")] * 40)]
+    df = spark.createDataFrame(rows, "f string, s string, o bigint").repartition(5)
+    got = {r.o: r.n for r in scale.number_rows(df, "f", ["s"], "o", "n").collect()}
+    for fam in ("x", "y", None):
         order = sorted((s, o) for f, s, o in rows if f == fam)
         assert [got[o] for _, o in order] == list(range(1, len(order) + 1))
 
 
+def test_numbering_gathers_no_group(spark):
+    """No window over the rows of a group: the only one runs over partitions."""
+    df = spark.range(0, 20_000, numPartitions=8).selectExpr("id % 2 as f", "id % 7 as s", "id as o")
+    out = scale.number_rows(df, "f", ["s"], "o", "n")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window ") <= 1 and out.agg(F.max("n")).first()[0] == 10_000
+
+
 def test_first_k_beyond_the_group_limit(spark):
     df = spark.range(5000).withColumn("g", F.when(F.col("id") % 3 == 0, "hot").otherwise("b"))
     out = scale.first_k(df, "g", [F.desc("id")], 1200, spread=F.col("id"))
