@@ -36,6 +36,9 @@ SPARE_BLOCKS = 4
 #: Texts in which common shingles are looked for, and how many of those are kept; both change only the work.
 SAMPLE = 1 << 15
 COMMON = 1 << 16
+#: Texts that a family of full blocks is compared with first, and parts of the shingle values in which shared ones are counted.
+HUBS = 4
+PARTS = 16
 #: Bytes of shingle sets that one task compares at a time.
 SLICE_OF_SETS = 32 << 20
 SHINGLE_BASE = 0x9E3779B97F4A7C15
@@ -233,13 +236,26 @@ def _prefixes(shingle: int, similarity: float, common: np.ndarray):
 
 
 def _sets(shingle: int):
+    """Of each different text of a task: key, shingles (its set as bytes)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(Scheme("words", shingle, 0))
-        for batch in batches:
-            for start, piece in slices(batch.column("__text")):
-                sets = [s.tobytes() for s in _sets_of(piece, speller, shingle)]
+        for keys, piece in _different(batches):
+            sets = [s.tobytes() for s in _sets_of(piece, speller, shingle)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(sets, pa.binary())], ["key", "shingles"])
+
+    return run
+
+
+def _shingle_rows(shingle: int):
+    """One row per different text of a task and shingle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(Scheme("words", shingle, 0))
+        for keys, piece in _different(batches):
+            for key, found in zip(keys, _sets_of(piece, speller, shingle)):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(start, len(piece)), pa.array(sets, pa.binary())], ["key", "shingles"])
+                    [pa.array([key] * len(found), pa.binary()), pa.array(found.view(np.int64))], ["key", "shingle"])
 
     return run
 
@@ -249,7 +265,7 @@ def _similar(least: float):
 
     def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
         known = {k: np.frombuffer(s, np.uint64) for k, s in zip(
-            sets.column("key").to_pylist(), sets.column("shingles").to_pylist())}
+            sets.column("id").to_pylist(), sets.column("shingles").to_pylist())}
         keep = []
         for left, right in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
             a, b = known[left], known[right]
@@ -261,36 +277,66 @@ def _similar(least: float):
     return run
 
 
-def verified(links: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
-    """The links (a, b of distinct keys) whose texts reach the Jaccard similarity of their shingle sets.
+def verified(links: DataFrame, texts: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
+    """The links (a, b) whose texts reach the Jaccard similarity of their shingle sets.
 
-    Texts of linked keys are cut into sets once. Links meet the sets in slices of `b`: a slice gets each of its sets
-    once, however many links name it, so a hub costs one set per slice and not one per link.
+    texts has id, key, size of every different text, rows its text by key. Links meet the sets in cells, one for each pair
+    of slices of `a` and of `b`. A cell gets each of its sets once, however many links name it, so a hub costs one set per
+    cell and not one per link, and no cell holds more than two slices.
     """
-    linked = links.select(F.col("a").alias("key")).unionByName(links.select(F.col("b").alias("key"))).distinct()
-    sets = scratch.store(rows.select("key", "__text").join(linked, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(
-        _sets(shingle), "key binary, shingles binary"))
-    total = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
-    part = lambda c: F.pmod(F.xxhash64(c), F.lit(max(1, -(-total // SLICE_OF_SETS)))).alias("part")
-    placed = links.select("a", "b", part("b"))
-    wanted = placed.select("part", F.col("a").alias("key")).unionByName(placed.select("part", F.col("b").alias("key"))).distinct()
-    near = wanted.join(sets, "key").select(F.col("part").alias("at"), "key", "shingles")
-    found = scratch.store(placed.groupBy("part").cogroup(near.groupBy("at")).applyInArrow(_similar(similarity), "a binary, b binary"))
-    scratch.drop(sets)
+    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct()
+    linked = scratch.store(texts.select("id", "key", "size").join(ends, "id"))
+    total = 8 * (linked.agg(F.sum("size")).first()[0] or 0)
+    slices_ = max(1, -(-total // SLICE_OF_SETS))
+    slice_of = lambda c: F.pmod(F.xxhash64(c), F.lit(slices_))
+    placed = links.select("a", "b", (slice_of("a") * slices_ + slice_of("b")).alias("part"))
+    wanted = placed.select("part", F.col("a").alias("id")).unionByName(placed.select("part", F.col("b").alias("id"))).distinct()
+    wanted = scratch.store(wanted.join(linked.select("id", "key"), "id"))
+    sets = rows.select("key", "__text").join(linked.select("key"), "key", "left_semi").mapInArrow(
+        _sets(shingle), "key binary, shingles binary")
+    near = wanted.join(sets, "key").select(F.col("part").alias("at"), "id", "shingles")
+    found = placed.groupBy("part").cogroup(near.groupBy("at")).applyInArrow(_similar(similarity), "a bigint, b bigint")
+    found = scratch.store(found)
+    for done in (linked, wanted):
+        scratch.drop(done)
     return found
 
 
-def _able(similarity: float) -> Column:
-    """Whether a pair can reach the similarity: at the first shingle of both prefixes what is left bounds what they share."""
+def _able(similarity: float, shared: bool = False) -> Column:
+    """Whether a pair can reach the similarity.
+
+    At the first shingle of both prefixes what is left of either bounds what they share; with `shared` so do the
+    shingles that each has in common with any other, counted in parts.
+    """
     most = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
+    if shared:
+        most = F.least(most, _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b))))
     return most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
 
 
-def _paired(left: DataFrame, right: DataFrame, similarity: float, wanted: Column) -> DataFrame:
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
+def _paired(left: DataFrame, right: DataFrame, wanted: Column) -> DataFrame:
     """Pairs a < b of rows of a block."""
     side = lambda df, c: df.select("block", *(F.col(n).alias(f"{n}_{c}") for n in df.columns if n != "block"))
-    return side(left, "a").join(side(right, "b"), "block").filter(wanted & _able(similarity)).select(
-        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+    return side(left, "a").join(side(right, "b"), "block").filter(wanted).select(
+        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+
+
+def _shared(texts: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -> DataFrame:
+    """texts: id, key. Of each the shingles it has in common with another one of them: id, shared (counts in PARTS parts)."""
+    told = rows.select("key", "__text").join(texts.select("key"), "key", "left_semi").mapInArrow(
+        _shingle_rows(shingle), "key binary, shingle bigint").distinct()
+    told = scratch.store(told.join(texts, "key").select("id", "shingle"))
+    common = scratch.store(told.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle"))
+    part = F.pmod("shingle", F.lit(PARTS))
+    counts = F.array(*(F.count_if(part == p).cast("int") for p in range(PARTS)))
+    found = scratch.store(told.join(common, "shingle").groupBy("id").agg(counts.alias("shared")))
+    for done in (told, common):
+        scratch.drop(done)
+    return found
 
 
 def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
@@ -300,45 +346,53 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     Two sets of Jaccard similarity s have an element in common among the first n - ceil(s n) + 1 of each, in any order
     of the elements (Chaudhuri et al., "A Primitive Operator for Similarity Joins", 2006). With rare shingles first few
     texts meet by chance. SimHash pairs and all pairs of blocks of up to `bucket_rows` texts are verified; in fuller
-    blocks each text is verified against the least one first. What that ties is one class, and a full block of one
-    class is settled; in the others all pairs of different classes are verified that their sizes and places allow. So
-    no pair of different texts that reaches the similarity stays in different classes.
+    blocks each text is verified against a hub, one of HUBS as the block has it. What that ties is one class, and a full
+    block of one class is settled; in the others all pairs of different classes are verified that can reach the
+    similarity by their sizes, places and shared shingles. So no pair that reaches it stays in different classes.
     """
     common = common_shingles(rows, shingle)
     cut = rows.mapInArrow(_prefixes(shingle, similarity, common), "key binary, size int, fp bigint, heads array<bigint>")
-    cut = scratch.store(cut.dropDuplicates(["key"]))
-    first = scratch.store(cut.groupBy("fp").agg(F.min("key").alias("key")))
+    texts = scratch.store(cut.dropDuplicates(["key"]).withColumn("id", F.monotonically_increasing_id()))
+    first = scratch.store(texts.groupBy("fp").agg(F.min("id").alias("id")))
     near = close_links(first.select("fp"), bits, scratch, bucket_rows)
-    of = lambda c: first.select(F.col("fp").alias(c), F.col("key").alias(f"key_{c}"))
+    of = lambda c: first.select(F.col("fp").alias(c), F.col("id").alias(f"id_{c}"))
     printed = near.join(of("a"), "a").join(of("b"), "b").select(
-        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
-    alike = cut.select("fp", "key").join(first.withColumnRenamed("key", "a"), "fp").filter("a <> key").select("a", F.col("key").alias("b"))
+        F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
+    alike = texts.select("fp", "id").join(first.withColumnRenamed("id", "a"), "fp").filter("a <> id").select(
+        "a", F.col("id").alias("b"))
 
-    keyed = cut.select("key", "size", F.posexplode("heads").alias("pos", "block"))
-    counts = keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "size", "pos")).alias("hub")).filter("n > 1")
-    counts = scratch.store(counts)
-    placed = scratch.store(keyed.join(counts.select("block", "n"), "block"))
+    keyed = texts.select("id", "size", F.posexplode("heads").alias("pos", "block"))
+    counts = scratch.store(keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    placed = scratch.store(keyed.join(counts, "block"))
     few = placed.filter(F.col("n") <= bucket_rows).drop("n")
     full = placed.filter(F.col("n") > bucket_rows).drop("n")
-    hubs = counts.filter(F.col("n") > bucket_rows).select("block", "hub.*")
-    pairs = _paired(few, few, similarity, F.col("key_a") < F.col("key_b"))
-    stars = _paired(hubs, full, similarity, F.col("key_a") < F.col("key_b"))
+    turn = F.xxhash64("id", F.pmod("block", F.lit(HUBS)))
+    hubs = full.groupBy("block").agg(F.min(F.struct(turn.alias("turn"), "id", "size", "pos")).alias("hub"))
+    hubs = scratch.store(hubs.select("block", "hub.id", "hub.size", "hub.pos"))
+    pairs = _paired(few, few, (F.col("id_a") < F.col("id_b")) & _able(similarity))
+    stars = _paired(hubs, full, (F.col("id_a") != F.col("id_b")) & _able(similarity))
     proposals = scratch.store(printed.unionByName(alike).unionByName(pairs).unionByName(stars).distinct())
-    links = verified(proposals, rows, shingle, similarity, scratch)
+    links = verified(proposals, texts, rows, shingle, similarity, scratch)
     classes = scratch.store(components(links, scratch))
-    for done in (proposals, links, cut, first):
-        scratch.drop(done)
 
-    owned = full.join(classes.withColumnRenamed("node", "key"), "key", "left")
-    owned = scratch.store(owned.select("block", "key", "size", "pos", F.coalesce("root", "key").alias("class")))
+    owned = full.join(classes.withColumnRenamed("node", "id"), "id", "left")
+    owned = scratch.store(owned.select("block", "id", "size", "pos", F.coalesce("root", "id").alias("class")))
     mixed = owned.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("block")
     owned = scratch.store(owned.join(scratch.store(mixed), "block"))
-    across = scratch.store(_paired(owned, owned, similarity, F.col("class_a") < F.col("class_b")).distinct())
-    scratch.drop(placed)
-    if across.isEmpty():
-        return classes
-    more = verified(across, rows, shingle, similarity, scratch)
-    return components(classes.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+    for done in (counts, placed, hubs, proposals, links, first):
+        scratch.drop(done)
+    if not owned.isEmpty():
+        told = scratch.store(texts.select("id", "key").join(owned.select("id").distinct(), "id"))
+        able = _shared(told, rows, shingle, scratch)
+        # A text that shares less than `similarity` of its shingles with all others is like none of them.
+        owned = scratch.store(owned.join(able, "id").filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6))
+        across = _paired(owned, owned, (F.col("class_a") < F.col("class_b")) & _able(similarity, shared=True))
+        more = verified(scratch.store(across.distinct()), texts, rows, shingle, similarity, scratch)
+        tied = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        classes = scratch.store(components(tied.unionByName(more), scratch))
+    named = classes.join(texts.select(F.col("id").alias("node"), "key"), "node")
+    roots = named.groupBy("root").agg(F.min("key").alias("least"))
+    return named.join(roots, "root").select(F.col("key").alias("node"), F.col("least").alias("root"))
 
 
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", shingle: int = 5, similarity: float = 0.8,
