@@ -11,8 +11,9 @@ pairs with their frequencies, and a document refers to the pairs of its slice by
 one row per slice and pair, not one per link. Totals per pair combine map-side, the best pair of a B id is one row
 per vocabulary entry (broadcast: bounded by the vocabulary), and counts return to the slices by a join on the pair.
 A task then holds one slice of documents and its pairs; no group is larger than SLICE_BYTES or one text.
-Long texts are encoded in pieces cut before single spaces between ASCII letters or digits, where neither
-tokenizer has a token across.
+Texts are cut before single spaces between characters that are no white space, where both tokenizers end a token
+(neither vocabulary has a space after another character, and pre-tokens begin there). So a group never crosses
+a cut, the different pieces of a slice are encoded and aligned once, and a document joins what its pieces have.
 
 Edge cases: texts null, empty, or whose joined token bytes differ from space + text have no tokens: all numbers 0
 and an empty `groups_sha256`. Repeated rows are counted and returned each; ties at the top are all best; extra
@@ -24,6 +25,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import sha256
 
@@ -34,11 +36,9 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, slices
 
-#: Pieces of a long text that are encoded by themselves.
-PIECE_BYTES = 1 << 16
 #: Text handed to a tokenizer at once.
 BATCH_BYTES = 1 << 18
-CUT = re.compile(rb"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 # --------------------------------------------------------------------------
@@ -101,37 +101,17 @@ class Side:
         #: Each id followed by nothing, a comma, a bar and a semicolon.
         self.written = [f"{i}{end}" for i in range(len(self.coder.pieces)) for end in ("", ",", "|", ";")]
 
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text, long ones in pieces."""
-        parts, owners = [], []
-        for i, text in enumerate(texts):
-            for part in pieces_of(text):
-                parts.append(part.decode())
-                owners.append(i)
-        found: list[list[np.ndarray]] = [[] for _ in texts]
+    def encode(self, texts: list[str]) -> list[list[int]]:
         # A library's own result takes some hundred bytes a token, so it is held for one batch only.
-        for first, stop in batches_of([len(p) for p in parts]):
-            for i, ids in zip(owners[first:stop], self.coder.encode(parts[first:stop])):
-                found[i].append(np.array(ids, np.int64))
-        return [np.concatenate(f) for f in found]
+        out = []
+        for first, stop in batches_of([len(t) for t in texts]):
+            out += self.coder.encode(texts[first:stop])
+        return out
 
-    def covers(self, ids: np.ndarray, text: bytes) -> bool:
+    def covers(self, ids: list[int], text: str) -> bool:
         """Whether the joined bytes of the tokens are space + text."""
         pieces = self.coder.pieces
-        return b"".join([pieces[i] for i in ids.tolist()]) == b" " + text
-
-
-def pieces_of(text: bytes) -> list[bytes]:
-    """The text cut at safe single spaces, which are dropped: every piece is encoded with a space before it."""
-    out, start = [], 0
-    while len(text) - start > PIECE_BYTES:
-        cut = CUT.search(text, start + PIECE_BYTES)
-        if not cut:
-            break
-        out.append(text[start : cut.start()])
-        start = cut.end()
-    out.append(text[start:])
-    return out
+        return b"".join([pieces[i] for i in ids]) == b" " + text.encode("utf-8", "surrogatepass")
 
 
 def batches_of(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -182,36 +162,84 @@ def expand(a_ends: np.ndarray, b_ends: np.ndarray, a_group: np.ndarray, b_group:
     return left[overlap], right[overlap]
 
 
-def write_groups(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, sides: tuple[Side, Side]) -> bytes:
-    """`a1,a2|b1;a3|b2,b3`: the ids of each group in order."""
+def written_tokens(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray, last: np.ndarray,
+                   sides: tuple[Side, Side]) -> list[str]:
+    """The ids in order of group and side, each with what follows it in `a1,a2|b1;a3|b2,b3`; nothing after groups in `last`."""
     group = np.concatenate((a_group, b_group))
     side = np.repeat([0, 1], (len(a), len(b)))
     order = np.lexsort((side, group))
     group, side = group[order], side[order]
-    # What follows a token: nothing at the end, a comma in its list, a bar before B, a semicolon before a group.
-    end = np.zeros(len(order), np.int64)
+    # A comma in a list, a bar before B, a semicolon before the next group.
+    end = np.full(len(order), 3)
     end[:-1] = np.where(group[1:] > group[:-1], 3, np.where(side[1:] > side[:-1], 2, 1))
+    end[(end == 3) & last[group]] = 0
     index = np.concatenate((a, b))[order] * 4 + end
     first, second = (s.written for s in sides)
-    return "".join([second[i] if s else first[i] for i, s in zip(index.tolist(), side.tolist())]).encode()
-
-
-def align(texts: list[bytes], sides: tuple[Side, Side]) -> list[tuple[int, int, int, str, np.ndarray]]:
-    """Of each text: n_a, n_b, n_groups, groups_sha256 and the linked pairs as a * (size of B) + b."""
-    width = len(sides[1].lengths)
-    none = (0, 0, 0, "", np.zeros(0, np.int64))
-    distinct = {t: i for i, t in enumerate(dict.fromkeys(t for t in texts if t))}
-    known = []
-    for text, a, b in zip(distinct, *(s.encode(list(distinct)) for s in sides)):
-        if not (sides[0].covers(a, text) and sides[1].covers(b, text)):
-            known.append(none)
+    return [second[i] if s else first[i] for i, s in zip(index.tolist(), side.tolist())]
+
+
+@dataclass
+class Pieces:
+    """What the different pieces of a slice have: numbers per piece, the written groups, and the links of all in a row."""
+
+    good: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    written: list[str]
+    links: np.ndarray
+    n_links: np.ndarray
+
+
+def align_pieces(texts: list[str], sides: tuple[Side, Side]) -> Pieces:
+    """Align all pieces at once: laid one after another, both token sequences still end together at each piece."""
+    found = [s.encode(texts) for s in sides]
+    good = np.array([sides[0].covers(a, t) and sides[1].covers(b, t) for a, b, t in zip(*found, texts)], bool)
+    counts = [np.array([len(x) if g else 0 for x, g in zip(f, good)], np.int64) for f in found]
+    a, b = (np.array([i for x, g in zip(f, good) if g for i in x], np.int64) for f in found)
+    if not len(a):
+        none = np.zeros(len(texts), np.int64)
+        return Pieces(good, none, none, none, [""] * len(texts), np.zeros(0, np.int64), none)
+    a_ends, b_ends = np.cumsum(sides[0].lengths[a]), np.cumsum(sides[1].lengths[b])
+    a_group, b_group = coalesce(a_ends, b_ends)
+    owner = np.repeat(np.arange(len(texts)), counts[0])
+    piece_of_group = np.empty(a_group[-1] + 1, np.int64)
+    piece_of_group[a_group] = owner
+    last = np.append(piece_of_group[1:] != piece_of_group[:-1], True)
+    tokens = written_tokens(a, b, a_group, b_group, last, sides)
+    edges = np.cumsum(counts[0] + counts[1]).tolist()
+    written = ["".join(tokens[low:high]) for low, high in zip([0, *edges[:-1]], edges)]
+    left, right = expand(a_ends, b_ends, a_group, b_group)
+    return Pieces(good, *counts, np.bincount(piece_of_group, minlength=len(texts)), written,
+                  a[left] * len(sides[1].lengths) + b[right], np.bincount(owner[left], minlength=len(texts)))
+
+
+def align(texts: list[str], sides: tuple[Side, Side]) -> tuple[list[tuple[int, int, int, str, np.ndarray]], np.ndarray, np.ndarray]:
+    """Of each text: n_a, n_b, n_groups, groups_sha256 and its links as places in the second result.
+
+    The second result lists the linked pairs of all texts as a * (size of B) + b, the third how often each is linked.
+    """
+    number: dict[str, int] = {}
+    cut = [np.array([number.setdefault(p, len(number)) for p in CUT.split(t)], np.int64) if t else None for t in texts]
+    have = align_pieces(list(number), sides)
+    pairs, place = np.unique(have.links, return_inverse=True)
+    start = np.cumsum(have.n_links) - have.n_links
+    out, times = [], np.zeros(len(pairs), np.int64)
+    for at in cut:
+        if at is None or not have.good[at].all():
+            out.append((0, 0, 0, "", np.zeros(0, np.int32)))
             continue
-        a_ends, b_ends = np.cumsum(sides[0].lengths[a]), np.cumsum(sides[1].lengths[b])
-        a_group, b_group = coalesce(a_ends, b_ends)
-        left, right = expand(a_ends, b_ends, a_group, b_group)
-        digest = sha256(write_groups(a, b, a_group, b_group, sides)).hexdigest()
-        known.append((len(a), len(b), int(a_group[-1]) + 1, digest, a[left] * width + b[right]))
-    return [known[distinct[t]] if t else none for t in texts]
+        n = have.n_links[at]
+        links = place[np.arange(n.sum()) + np.repeat(start[at] - np.cumsum(n) + n, n)].astype(np.int32)
+        times += np.bincount(links, minlength=len(pairs))
+        told = ";".join([have.written[i] for i in at.tolist()])
+        out.append((int(have.n_a[at].sum()), int(have.n_b[at].sum()), int(have.n_groups[at].sum()), sha256(told.encode()).hexdigest(), links))
+    # Pairs that only texts without tokens would have are not listed.
+    used = np.flatnonzero(times)
+    if len(used) < len(pairs):
+        new = np.cumsum(times > 0) - 1
+        out = [(*row[:4], new[row[4]].astype(np.int32)) for row in out]
+    return out, pairs[used], times[used]
 
 
 # --------------------------------------------------------------------------
@@ -230,10 +258,8 @@ def _aligner(paths: tuple[str, str], keep: list[str]):
         sides = tuple(load_side(p) for p in paths)
         for batch in batches:
             for start, texts in slices(batch.column("__text")):
-                rows = align(texts, sides)
-                pairs, places, times = np.unique(
-                    np.concatenate([r[4] for r in rows]), return_inverse=True, return_counts=True)
-                links = np.split(places.astype(np.int32), np.cumsum([len(r[4]) for r in rows])[:-1])
+                rows, pairs, times = align([t.decode("utf-8", "surrogatepass") for t in texts], sides)
+                links = [r[4] for r in rows]
                 once = [None] * (len(rows) - 1)
                 facts = [*([r[i] for r in rows] for i in range(4)), links, [pairs, *once], [times, *once]]
                 kept = [batch.column(c).slice(start, len(rows)) for c in keep]

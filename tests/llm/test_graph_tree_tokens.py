@@ -89,13 +89,19 @@ def test_alignment_matches_brute_force(spark, texts):
     assert alignment.align_documents(docs.filter("text is null"), A_PATH, B_PATH, ["doc_id"]).count() == 1
 
 
-def test_long_texts_are_cut_where_no_token_crosses(texts):
-    long = texts[-2].encode()
-    pieces = alignment.pieces_of(long)
-    assert len(pieces) > 2 and b" ".join(pieces) == long
-    assert alignment.pieces_of(b"x" * 200_000) == [b"x" * 200_000]
-    side = alignment.load_side(B_PATH)
-    assert not any(b" " in p.lstrip(b" ") for p in side.coder.pieces)
+def test_texts_are_cut_where_no_token_crosses(texts):
+    """Tokens of whole texts are those of their pieces, also beside white space that is not ASCII."""
+    rng = random.Random(9)
+    signs = ["a", "é", "don't", "7", " ", "  ", "\u00a0", "\u3000", "\u2028", "\u0085", "\t", "\x1c", "!", "▁", "😀", "\u0301", "'s", "日"]
+    mixed = ["".join(rng.choices(signs, k=30)) for _ in range(400)]
+    for side in (alignment.load_side(A_PATH), alignment.load_side(B_PATH)):
+        for text in mixed + [t for t in texts if t]:
+            whole = side.coder.encode([text])[0]
+            parts = [i for p in side.coder.encode(alignment.CUT.split(text)) for i in p]
+            assert whole == parts or not side.covers(whole, text)
+            assert side.covers(whole, text) == all(
+                side.covers(ids, p) for p, ids in zip(alignment.CUT.split(text), side.coder.encode(alignment.CUT.split(text))))
+    assert not any(b" " in p.lstrip(b" ") for p in alignment.load_side(B_PATH).coder.pieces)
 
 
 # --------------------------------------------------------------------------
