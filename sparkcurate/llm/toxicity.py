@@ -39,7 +39,9 @@ SENTENCE_WORDS = 32
 MEMORY = 250_000
 #: Hashed letter pairs of the kernel's filter, and the share of a landmark's pairs that a word must have.
 PAIR_SLOTS = 256
-SHARED = 0.4
+SHARED = 0.6
+#: Power of the kernel of two words: the power of a kernel is one, and a high one keeps words apart that share an ending.
+SHARPNESS = 2
 ENDS = re.compile(r"[.!?]+(?=\s|$)|\n")
 INSERTED = re.compile(r"[\W_]+")
 SPREAD = re.compile(r"(?<!\w)\w(?:[\W_]{1,2}\w){2,}(?!\w)")
@@ -48,10 +50,11 @@ SPREAD = re.compile(r"(?<!\w)\w(?:[\W_]{1,2}\w){2,}(?!\w)")
 @dataclass(frozen=True)
 class ToxicityRules:
     fit_rows: int = 8_000
-    landmarks: int = 64
-    suspicious: float = 0.7  # share of the landmarks that come from toxic documents
-    penalty: float = 4.0
+    landmarks: int = 96
+    suspicious: float = 0.85  # share of the landmarks that come from toxic documents
+    penalty: float = 1.0
     rounds: int = 2
+    miss_cost: float = 4.0  # a toxic document that is missed counts as so many clean ones rejected
     threshold: float = 0.3
 
 
@@ -135,10 +138,10 @@ def letter_pairs(rows: np.ndarray) -> np.ndarray:
 
 
 def word_kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Mean of the normalised kernels of order 3 and 4 of all words with all landmarks.
+    """Mean of the normalised kernels of order 3 and 4 of all words with all landmarks, to the power SHARPNESS.
 
     It is 0 for a pair that shares less than SHARED of the landmark's letter pairs, which spares the
-    recursion for words that have little in common.
+    recursion for words that have little in common; the power leaves little of such pairs in any case.
     """
     out = np.zeros((len(words), len(landmarks)), np.float32)
     if not words or not landmarks:
@@ -159,7 +162,7 @@ def word_kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
         both = pair_kernel(rows[left], marks[right])
         # Where a side has no subsequence of that length, its kernel with anything is 0.
         value = sum(k / np.maximum(a * c[right], 1e-12) for k, a, c in zip(both, selves, own)) / 2
-        out[part[left], right] = value
+        out[part[left], right] = value**SHARPNESS
     return out
 
 
@@ -312,16 +315,17 @@ def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) -> t
     return beta[:m], float(beta[m])
 
 
-def fit_logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the score, by Newton steps with Platt's smoothed targets."""
+def fit_logistic(margin: np.ndarray, y: np.ndarray, miss_cost: float = 1.0) -> tuple[float, float]:
+    """Slope and shift of the score, by Newton steps with Platt's smoothed targets; toxic rows count miss_cost times."""
     pos, neg = int((y > 0).sum()), int((y <= 0).sum())
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     x = np.column_stack([margin, np.ones(len(margin))])
+    weight = np.where(y > 0, miss_cost, 1.0)
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hess = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, x.T @ (p - target) + 1e-3 * w)
+        hess = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hess, x.T @ (weight * (p - target)) + 1e-3 * w)
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -362,7 +366,8 @@ def train(docs: DataFrame, labels: DataFrame, rules: ToxicityRules, scratch: Scr
         beta, bias = fit_svm((x @ root)[order], y[order], rules.penalty)
         model = Model(landmarks, (root @ beta).tolist(), bias)
     fitted = with_margins(sample, ["toxic"], model).toPandas().sort_values(["toxic", "margin"])
-    model.slope, model.shift = fit_logistic(fitted["margin"].to_numpy(), fitted["toxic"].to_numpy())
+    model.slope, model.shift = fit_logistic(
+        fitted["margin"].to_numpy(), fitted["toxic"].to_numpy(), rules.miss_cost)
     return model
 
 
@@ -370,11 +375,14 @@ def score_documents(
     docs: DataFrame, keep: list[str], model: Model, rules: ToxicityRules = ToxicityRules(), text: str = "text"
 ) -> DataFrame:
     """Columns `keep` of docs with score (0 to 1) and predicted."""
-    rows = docs.select(*keep, text_or_empty(text).alias("__text"))
+    names = {c: f"k{i}" for i, c in enumerate(keep)}  # any names may stand in `keep`, also those used here
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()), text_or_empty(text).alias("__text"))
     exponent = -(F.lit(model.slope) * F.col("margin") + F.lit(model.shift))
     score = 1.0 / (1.0 + F.exp(F.least(F.greatest(exponent, F.lit(-700.0)), F.lit(700.0))))
-    scored = with_margins(rows, keep, model).withColumn("score", score)
-    return scored.withColumn("predicted", (F.col("score") >= rules.threshold).cast("int")).drop("margin")
+    scored = with_margins(rows, list(names.values()), model).withColumn("__score", score)
+    return scored.select(
+        *(F.col(n).alias(c) for c, n in names.items()), F.col("__score").alias("score"),
+        (F.col("__score") >= rules.threshold).cast("int").alias("predicted"))
 
 
 def held_out(id_column: str = "doc_id") -> F.Column:
