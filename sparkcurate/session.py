@@ -53,3 +53,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder name beside the checkpoints, for tables written and read back."""
     return f"{ensure_checkpoint_dir(spark)}/scratch-{uuid.uuid4().hex}"
+
+
+def stable_folder(spark: SparkSession, name: str) -> str:
+    """A folder beside the checkpoints that later sessions find again under the same name.
+
+    Without a shared folder in the settings (local mode) it lasts as long as the session.
+    """
+    return f"{spark.conf.get('spark.checkpoint.dir', None) or ensure_checkpoint_dir(spark)}/{name}"
