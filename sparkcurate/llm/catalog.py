@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_folder
+from ..session import stable_folder
 from . import (
     alignment,
     decontamination,
@@ -136,7 +136,7 @@ FROM judged"""
 
 def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    cache = f"{scratch_folder(spark)}/token-cache"
+    cache = stable_folder(spark, "token-cache")  # found again by the next run
     counted = tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), cache)
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 

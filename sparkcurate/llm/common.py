@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,6 +39,12 @@ class Scratch:
             target.getFileSystem(conf).delete(target, True)
 
 
+    def sweep(self) -> None:
+        """Let Spark's cleaner delete the shuffle files of tables that are stored and no longer referenced."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
+
 def spare_name(wish: str, df: DataFrame) -> str:
     """A column name that df does not have in any case, nor any that only adds underscores to it."""
     name, taken = f"__{wish}", {c.lower().rstrip("_") for c in df.columns}

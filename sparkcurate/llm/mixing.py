@@ -27,9 +27,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.scale import small_side
-from .common import Scratch
+from .common import Scratch, spare_name
 
-# The dynamic programme fits budgets up to this number of words.
+# Cells of a dynamic programme: words, or units of several words while more than that is left.
 REACH = 1 << 16
 SLICES = 256
 WORDS = "[^\\x20\\x09-\\x0D]+"
@@ -71,13 +71,14 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, reach: int
         return counts.copy()
     take = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
     rest = budget - int((lengths * take).sum())
-    order = np.argsort(-lengths, kind="stable")
-    for i in order:  # from long to short until the rest is within reach
-        if rest <= reach // 2:
+    # While the rest is beyond reach, a programme over coarser units: lengths rounded up, so that no sum exceeds it.
+    while rest > reach:
+        unit = -(-rest // reach)
+        more = _knapsack(-(-lengths // unit), counts - take, rest // unit, reach)
+        if not more.any():
             break
-        more = min(int(counts[i] - take[i]), (rest - reach // 2) // int(lengths[i])) if lengths[i] else 0
-        take[i] += more
-        rest -= more * int(lengths[i])
+        take += more
+        rest -= int((lengths * more).sum())
     return take + _knapsack(lengths, counts - take, rest, reach)
 
 
@@ -176,11 +177,12 @@ def mix_rows(docs: DataFrame, id_column: str = "doc_id", seed: int = 42, text: s
     key = F.md5(F.to_json(F.struct(
         F.col(id_column).cast("string").alias("i"), F.col("source").cast("string").alias("s"),
         F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("t"))))
-    keyed = docs.withColumn("__key", key)
-    plan = mix_sources(keyed.select("__key", text, "source"), ["__key"], ["__key"], seed)
+    own, turn = spare_name("key", docs), spare_name("turn", docs)
+    keyed = docs.withColumn(own, key)
+    plan = mix_sources(keyed.select(F.col(own).alias("__key"), F.col(f"`{text}`"), "source"), ["__key"], ["__key"], seed, text=text)
     times = F.when(F.col("size") == 0, 1).otherwise(F.col("taken") / F.greatest("size", F.lit(1))).cast("bigint")
     copies = plan.groupBy("__key").agg(F.sum(times).alias("__times")).filter("__times > 0")
-    copies = scratch.store(copies)
-    once = keyed.dropDuplicates(["__key"]).join(copies, "__key")
-    return once.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("bigint"), "__times"))).select(
+    copies = scratch.store(copies).withColumnsRenamed({"__key": own, "__times": turn})
+    once = keyed.dropDuplicates([own]).join(copies, own)
+    return once.withColumn(turn, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(turn)))).select(
         *(F.col(f"`{c}`") for c in docs.columns))

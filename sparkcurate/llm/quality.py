@@ -25,6 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.scale import small_side
@@ -34,6 +35,9 @@ SPACES = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 DIMS = 5
+#: Factor that makes the covariance of the inner 75 % of five-dimensional normal vectors that of all of them:
+#: 0.75 / P(chi-squared with 7 degrees <= the 75 % point with 5 degrees), Croux and Haesbroeck 1999.
+CONSISTENCY = 1.41
 # Distance buckets per power of two; the bucket edge decides which rows a step keeps.
 RESOLUTION = 32
 
@@ -42,15 +46,15 @@ RESOLUTION = 32
 class OutlierRules:
     """min_rows: smallest group with its own estimate. floor: least standard deviation per coordinate.
 
-    limit: largest squared Mahalanobis distance kept; 48.0 is exceeded by a five-dimensional normal
-    vector about 4 times in 10^9, which leaves room for the heavier tails of real statistics.
+    limit: largest squared Mahalanobis distance kept, after the consistency factor; a five-dimensional normal vector
+    exceeds 34 about twice in 10^6, which leaves room for the heavier tails of real statistics.
     """
 
     share: float = 0.75
     steps: int = 6
-    min_rows: int = 200
+    min_rows: int = 25
     floor: tuple[float, ...] = (0.5, 0.1, 0.5, 0.35, 0.12)
-    limit: float = 48.0
+    limit: float = 34.0
     min_words: int = 10
     repeat_percent: int = 20
 
@@ -246,8 +250,6 @@ def _concentrate(
     bucket = F.floor(F.log2(F.col("d") + 1e-6) * RESOLUTION).cast("bigint")
     cells = scratch.store(near.groupBy("key", "start", bucket.alias("b")).agg(*_sums(F.lit(1.0))))
     # The buckets of a key are few (the exponent range times RESOLUTION), whatever its number of rows.
-    from pyspark.sql import Window as W
-
     upto = F.sum("n").over(W.partitionBy("key", "start").orderBy("b").rowsBetween(W.unboundedPreceding, 0))
     wanted = F.ceil(F.col("total") * rules.share)
     part = F.least(F.greatest((wanted - (F.col("upto") - F.col("n"))) / F.col("n"), F.lit(0.0)), F.lit(1.0))
@@ -281,7 +283,7 @@ def reject_outliers(docs: DataFrame, keep: list[str], rules: OutlierRules = Outl
     chosen = chosen.withColumnsRenamed({"lang": "__l", "source": "__s"})
     joined = rows.join(
         small_side(chosen), F.col("__lang").eqNullSafe(F.col("__l")) & F.col("__source").eqNullSafe(F.col("__s")), "left")
-    squared = F.coalesce(_distance("fit"), F.lit(0.0))
+    squared = F.coalesce(_distance("fit") / CONSISTENCY, F.lit(0.0))
     return joined.withColumn("distance2", squared).select(
         *keep, *BASE, "distance2", "base_failed",
         (~F.col("base_failed") & (F.col("distance2") <= rules.limit)).alias("kept"))

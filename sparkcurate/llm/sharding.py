@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.scale import small_side
-from .common import Scratch, text_digest, text_or_empty
+from .common import Scratch, spare_name, text_digest, text_or_empty
 
 #: Groups per cell, cells at most, bundles per shard.
 CELL_GROUPS = 20_000
@@ -192,11 +192,13 @@ def shard_documents(docs: DataFrame, keep: list[str], order: list[str], shards:
 
 
 def assign_shards(docs: DataFrame, shards: int = 16, text: str = "text") -> DataFrame:
-    """docs with a column `shard`; the texts are shuffled once, by their digest."""
+    """docs with a column `shard`, in place of one of that name; the texts are shuffled once, by their digest."""
     scratch = Scratch(docs.sparkSession)
     size = (F.octet_length(text_or_empty(text)) + 1).cast("bigint")
     groups = scratch.store(docs.select(text_digest(text).alias("digest"), size.alias("size")).groupBy("digest").agg(
         F.sum("size").cast("bigint").alias("bytes")))
-    placed = pack_groups(groups, shards, scratch).withColumnsRenamed({"digest": "__digest", "shard": "__shard"})
-    joined = docs.withColumn("__digest", text_digest(text)).join(scratch.store(placed), "__digest")
-    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), F.col("__shard").alias("shard"))
+    digest, number = spare_name("digest", docs), spare_name("shard", docs)
+    placed = scratch.store(pack_groups(groups, shards, scratch)).withColumnsRenamed({"digest": digest, "shard": number})
+    joined = docs.withColumn(digest, text_digest(text)).join(placed, digest)
+    kept = [c for c in docs.columns if c.lower() != "shard"]
+    return joined.select(*(F.col(f"`{c}`") for c in kept), F.col(number).alias("shard"))

@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.scale import small_side
 from .common import Scratch, slices, spare_name, text_or_empty
 from .components import components
 from .recurrence import Scheme, Speller, mix
@@ -292,13 +293,15 @@ def verified(links: DataFrame, texts: DataFrame, rows: DataFrame, shingle: int,
     placed = links.select("a", "b", (slice_of("a") * slices_ + slice_of("b")).alias("part"))
     wanted = placed.select("part", F.col("a").alias("id")).unionByName(placed.select("part", F.col("b").alias("id"))).distinct()
     wanted = scratch.store(wanted.join(linked.select("id", "key"), "id"))
-    sets = rows.select("key", "__text").join(linked.select("key"), "key", "left_semi").mapInArrow(
+    # Few linked texts are marked at the scan, and only their sets are shuffled; many meet in a join by key.
+    sets = rows.select("key", "__text").join(small_side(linked.select("key"), written=True), "key", "left_semi").mapInArrow(
         _sets(shingle), "key binary, shingles binary")
-    near = wanted.join(sets, "key").select(F.col("part").alias("at"), "id", "shingles")
+    near = sets.join(small_side(wanted, written=True), "key").select(F.col("part").alias("at"), "id", "shingles")
     found = placed.groupBy("part").cogroup(near.groupBy("at")).applyInArrow(_similar(similarity), "a bigint, b bigint")
     found = scratch.store(found)
     for done in (linked, wanted):
         scratch.drop(done)
+    scratch.sweep()
     return found
 
 
@@ -327,7 +330,7 @@ def _paired(left: DataFrame, right: DataFrame, wanted: Column) -> DataFrame:
 
 def _shared(texts: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -> DataFrame:
     """texts: id, key. Of each the shingles it has in common with another one of them: id, shared (counts in PARTS parts)."""
-    told = rows.select("key", "__text").join(texts.select("key"), "key", "left_semi").mapInArrow(
+    told = rows.select("key", "__text").join(small_side(texts.select("key"), written=True), "key", "left_semi").mapInArrow(
         _shingle_rows(shingle), "key binary, shingle bigint").distinct()
     told = scratch.store(told.join(texts, "key").select("id", "shingle"))
     common = scratch.store(told.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shingle"))
@@ -364,6 +367,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     keyed = texts.select("id", "size", F.posexplode("heads").alias("pos", "block"))
     counts = scratch.store(keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     placed = scratch.store(keyed.join(counts, "block"))
+    scratch.sweep()
     few = placed.filter(F.col("n") <= bucket_rows).drop("n")
     full = placed.filter(F.col("n") > bucket_rows).drop("n")
     turn = F.xxhash64("id", F.pmod("block", F.lit(HUBS)))
