@@ -236,6 +236,54 @@ def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.document_manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], "lang", ["doc_id"], tampered)
 
 
+OP13_SQL = """
+WITH RECURSIVE cells AS (
+  SELECT row_number() OVER () AS rn, doc_id, lang AS g, text,
+         concat_ws('', coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+                   coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-')) AS head,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+             lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+           lambda crc, e: CASE WHEN e >= 0 THEN xor(crc, e) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END) AS crc
+  FROM documents),
+leaves AS (
+  SELECT rn, doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-'))
+              ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS told
+  FROM cells),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+nodes AS (
+  SELECT g, 0 AS lv, pos, n, leaf AS d FROM placed
+  UNION ALL
+  SELECT g, lv + 1, pos // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY g, lv, pos // 8, n),
+subroots AS MATERIALIZED (
+  SELECT g, d, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lv, pos, n, d FROM subroots
+  UNION ALL
+  SELECT lv + 1, pos // 8, (n + 7) // 8, sha256(string_agg(d, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY lv, pos // 8, n),
+runs AS MATERIALIZED (SELECT g, lv, pos // 8 AS r, list(d ORDER BY pos) AS ds FROM nodes WHERE n > 1 GROUP BY g, lv, pos // 8),
+top_runs AS MATERIALIZED (SELECT lv, pos // 8 AS r, list(d ORDER BY pos) AS ds FROM tops WHERE n > 1 GROUP BY lv, pos // 8),
+lower_fold AS (
+  SELECT rn, g, 0 AS lv, pos, told AS cur, '' AS proof FROM placed
+  UNION ALL
+  SELECT rn, f.g, f.lv + 1, pos // 8, sha256(array_to_string(ds[1:pos % 8] || [cur] || ds[pos % 8 + 2:], '')),
+         proof || array_to_string(ds[1:pos % 8] || ds[pos % 8 + 2:], '')
+  FROM lower_fold f JOIN runs ON f.g IS NOT DISTINCT FROM runs.g AND f.lv = runs.lv AND f.pos // 8 = runs.r),
+upper_fold AS (
+  SELECT rn, 0 AS lv, s.pos, f.cur, f.proof
+  FROM (SELECT rn, g, arg_max(cur, lv) AS cur, arg_max(proof, lv) AS proof FROM lower_fold GROUP BY rn, g) f
+  JOIN subroots s ON f.g IS NOT DISTINCT FROM s.g
+  UNION ALL
+  SELECT rn, f.lv + 1, pos // 8, sha256(array_to_string(ds[1:pos % 8] || [cur] || ds[pos % 8 + 2:], '')),
+         proof || array_to_string(ds[1:pos % 8] || ds[pos % 8 + 2:], '')
+  FROM upper_fold f JOIN top_runs ON f.lv = top_runs.lv AND f.pos // 8 = top_runs.r),
+folded AS (SELECT rn, arg_max(cur, lv) AS cur, arg_max(proof, lv) AS proof FROM upper_fold GROUP BY rn)
+SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.d AS verified
+FROM placed p JOIN folded USING (rn) JOIN subroots s ON p.g IS NOT DISTINCT FROM s.g JOIN (SELECT d FROM tops WHERE n = 1) t ON true"""
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_quality_rules": op2_quality_rules,
@@ -252,4 +300,5 @@ QUERIES = {
     "op13_merkle": op13_merkle,
 }
 
-ORACLES: dict[str, str] = {"op5_revisits": OP5_SQL, "op12_url_filters": OP12_SQL}
+ORACLES: dict[str, str] = {"op5_revisits": OP5_SQL, "op12_url_filters": OP12_SQL,
+                           "op13_merkle": OP13_SQL}
