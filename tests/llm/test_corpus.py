@@ -267,6 +267,39 @@ def test_knapsack_reaches_what_can_be_reached():
         assert (take <= counts).all() and int((take * lengths).sum()) == max(s for s in sums if s <= budget)
 
 
+def test_budgets_beyond_reach_are_filled():
+    assert mixing.fit_counts(np.array([80_000, 90_000]), np.array([3, 3]), 100_000).tolist() == [0, 1]
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        lengths = np.unique(rng.integers(1, 400_000, 40))
+        counts = rng.integers(1, 5, len(lengths))
+        budget = int((lengths * counts).sum() * rng.random())
+        take = mixing.fit_counts(lengths, counts, budget)
+        left = budget - int((lengths * take).sum())
+        free = lengths[take < counts]
+        assert (take <= counts).all() and 0 <= left and (not len(free) or left < max(free.min(), 1 + budget // 1000))
+
+
+def test_clashing_names_in_stages(spark, rows, empty):
+    """Row-level forms with columns named like those used inside, and with a dot."""
+    inner = ["__text", "margin", "score", "shard", "__own", "__own_key", "__key", "__times", "__n", "__digest", "__leaked", "a.b", "c0", "k0"]
+    frame = spark.createDataFrame(
+        [(r[0], r[1], r[2], r[3], *(f"v{r[0]}" for _ in inner)) for r in rows[:60]],
+        "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in inner))
+    items = spark.createDataFrame([(0, "one two three four five six seven eight nine ten. eleven twelve.")], "item_id long, text string")
+    stages = [simhash.keep_one_of_each, lambda d: decontamination.drop_leaks(d, items), mixing.mix_rows,
+              lambda d: toxicity.score_documents(d, d.columns[:5], toxicity.Model())]
+    for stage in stages:
+        got = stage(frame)
+        want = set(frame.columns) if len(got.columns) > 7 else {*frame.columns[:5], "score", "predicted"}
+        assert set(got.columns) == want and got.count() > 0
+        assert all(r["__text"] == f"v{r.doc_id}" for r in got.collect())
+        assert stage(frame.filter("false")).count() == 0
+    sharded = sharding.assign_shards(frame)
+    assert sharded.columns.count("shard") == 1 and sharded.count() == 60
+    assert {r.shard for r in sharded.collect()} <= set(range(16))
+
+
 def test_shards(docs, rows, empty):
     got = sharding.shard_documents(docs, ["doc_id"], ["doc_id"], shards=4).collect()
     text = {r[0]: r[1] or "" for r in rows}
