@@ -48,21 +48,22 @@ def marker_blocks(aligned: DataFrame) -> DataFrame:
 def concatenate(aligned: DataFrame, genomes: DataFrame) -> DataFrame:
     """One row per genome: all blocks in marker order, gaps where a marker is missing.
 
-    A genome's own parts become a map, the family's block list an array; both are
-    bounded by the number of markers, so no genome x marker grid is built.
+    A genome's own parts and the family's block list become arrays; both are
+    bounded by the number of markers, so no genome x marker grid is built. Of several
+    parts of one marker in a genome the least text counts.
     """
     blocks = marker_blocks(aligned).groupBy("family").agg(
         F.array_sort(F.collect_list(F.struct("marker_order", "marker", "width"))).alias("blocks")
     )
     parts = aligned.groupBy("family", "genome_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("marker", "aln"))).alias("parts")
+        F.array_sort(F.collect_list(F.struct("marker", "aln"))).alias("parts")
     )
     # the block list goes to the genomes: a large family is not shuffled to one task
     joined = genomes.join(parts, ["family", "genome_id"], "left").join(small_side(blocks), "family")
     cell = F.transform(
         "blocks",
         lambda b: F.coalesce(
-            F.try_element_at(F.col("parts"), b["marker"]), F.repeat(F.lit("-"), b["width"])
+            F.get(F.filter("parts", lambda p: p["marker"] == b["marker"]), 0)["aln"], F.repeat(F.lit("-"), b["width"])
         ),
     )
     return joined.select(*genomes.columns, F.array_join(cell, "").alias("aln"))

@@ -144,3 +144,11 @@ def test_marker_checks(spark):
         ("f", 2, "marker without a name"), ("f", 3, "aliases are not a list of strings"), ("f", 4, "length range is not increasing"),
         ("g", None, "min_fraction is not in (0, 1]"), ("h", None, "no markers"),
     }
+
+
+def test_two_parts_of_one_marker(spark):
+    rows = [("f", "g1", "m", 1, "AC"), ("f", "g1", "m", 1, "AA"), ("f", "g2", "n", 2, "TTT")]
+    aligned = spark.createDataFrame(rows, "family string, genome_id string, marker string, marker_order int, aln string")
+    genomes = aligned.select("family", "genome_id").distinct()
+    got = {r.genome_id: r.aln for r in concat.concatenate(aligned, genomes).collect()}
+    assert got == {"g1": "AA---", "g2": "--TTT"}
