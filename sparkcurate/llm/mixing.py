@@ -71,7 +71,14 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, reach: int
         return counts.copy()
     take = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
     rest = budget - int((lengths * take).sum())
-    # While the rest is beyond reach, a programme over coarser units: lengths rounded up, so that no sum exceeds it.
+    order = np.argsort(-lengths, kind="stable")
+    for i in order:  # from long to short until the rest is within reach, so that few documents change
+        if rest <= reach // 2:
+            break
+        more = min(int(counts[i] - take[i]), (rest - reach // 2) // int(lengths[i])) if lengths[i] else 0
+        take[i] += more
+        rest -= more * int(lengths[i])
+    # While the rest is still beyond reach, a programme over coarser units: lengths rounded up, so that no sum exceeds it.
     while rest > reach:
         unit = -(-rest // reach)
         more = _knapsack(-(-lengths // unit), counts - take, rest // unit, reach)
