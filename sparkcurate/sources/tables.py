@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.scale import attach_groups
+
 ID_MAP_SCHEMA = "short_id STRING, accession STRING, display_name STRING"
 
 # Columns of the status and leaf metadata files.
@@ -16,6 +18,8 @@ METADATA_COLUMNS = [
     "collection_date", "location", "taxon_id", "length",
 ]
 TARGET_LABELS = ("500", "100")
+# Rows of a leaf metadata file.
+FILE_ROWS = 1 << 20
 # The columns of the family summary, in file order.
 SUMMARY_COLUMNS = [
     "family",
@@ -185,6 +189,14 @@ def leaf_metadata(rows: DataFrame, id_map: DataFrame) -> DataFrame:
 
 
 def write_leaf_metadata(rows: DataFrame, id_map: DataFrame, path: str) -> None:
-    """One folder per family and target; groups without rows write nothing."""
-    out = leaf_metadata(rows, id_map).select(*METADATA_COLUMNS, "family", "target")
-    write_tsv(out, path, partitions=["family", "target"])
+    """One folder per family and target; groups without rows write nothing.
+
+    The rows of a folder are brought together first, so that there is one file for each and not one for each task;
+    a folder of more than FILE_ROWS rows has several.
+    """
+    folder = ["family", "target"]
+    out = leaf_metadata(rows, id_map).select(*METADATA_COLUMNS, *folder)
+    files = out.groupBy(*folder).agg(F.ceil(F.count(F.lit(1)) / FILE_ROWS).cast("bigint").alias("__files"))
+    dealt = attach_groups(out, files, folder).withColumn("__file", F.pmod(F.xxhash64("accession", "short_id"), F.col("__files")))
+    tasks = max(int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")), out.sparkSession.sparkContext.defaultParallelism)
+    write_tsv(dealt.repartition(tasks, *folder, "__file").drop("__files", "__file"), path, partitions=folder)

@@ -190,3 +190,18 @@ def test_deleting_a_family_keeps_entries_without_one(spark):
 
     book = spark.createDataFrame([("a", None), ("b", "x"), ("c", "y")], "request_key string, family string")
     assert sorted(r.request_key for r in ledger.without_family(book, "x").collect()) == ["a", "c"]
+
+
+def test_a_folder_of_leaf_metadata_has_one_file(spark, tmp_path, monkeypatch):
+    fields = ["strain", "host", "collection_date", "location", "taxon_id", "length"]
+    rows = spark.range(400).selectExpr(
+        "concat('S', id) AS short_id", "concat('A', id) AS accession", "'x' AS species", *(f"'u' AS {f}" for f in fields),
+        "concat('f', id % 3) AS family", "id % 2 AS target").repartition(8)
+    names = spark.createDataFrame([("f0", "S0", "zero")], "family string, short_id string, display_name string")
+    tables.write_leaf_metadata(rows, names, str(tmp_path / "one"))
+    per_folder = lambda path: [len(list(d.glob("*.csv"))) for d in path.glob("family=*/target=*")]
+    assert per_folder(tmp_path / "one") == [1] * 6
+    monkeypatch.setattr(tables, "FILE_ROWS", 10)
+    tables.write_leaf_metadata(rows, names, str(tmp_path / "many"))
+    assert min(per_folder(tmp_path / "many")) > 1
+    assert tables.read_tsv(spark, str(tmp_path / "many")).count() == 400
