@@ -42,6 +42,8 @@ HUBS = 4
 PARTS = 16
 #: Bytes of shingle sets that one task compares at a time.
 SLICE_OF_SETS = 32 << 20
+#: The same for the parities of sets.
+SLICE_OF_PARITIES = 1 << 19
 SHINGLE_BASE = 0x9E3779B97F4A7C15
 # Hashes counted at once: eight bytes become 64 counters.
 CHUNK = 1 << 15
@@ -217,8 +219,22 @@ def prefix_of(found: np.ndarray, similarity: float, values: np.ndarray, ranks: n
     return found[np.argsort(rank, kind="stable")[:size]]
 
 
+def parity_of(found: np.ndarray) -> bytes:
+    """One bit for every place modulo a power of two (a shingle a bit or more): whether an odd number of shingles is there."""
+    bits = max(64, 1 << (len(found) - 1).bit_length())
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def most_shared(size_a: int, parity_a: bytes, size_b: int, parity_b: bytes) -> float:
+    """No fewer shingles than two sets share: each odd place of their difference holds one that only one of them has."""
+    a, b = sorted((np.frombuffer(p, np.uint8) for p in (parity_a, parity_b)), key=len)
+    odd = a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
+    return (size_a + size_b - int(np.bitwise_count(odd).sum())) / 2
+
+
 def _prefixes(shingle: int, similarity: float, common: np.ndarray):
-    """Of each different text of a task: key, size (shingles), fp (SimHash over the set), heads (its prefix)."""
+    """Of each different text of a task: key, size (shingles), fp (SimHash over the set), parity, heads (its prefix)."""
     order = np.argsort(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,8 +246,9 @@ def _prefixes(shingle: int, similarity: float, common: np.ndarray):
             ends = np.cumsum([0, *(len(h) for h in heads)])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int32()), pa.array(prints),
+                 pa.array([parity_of(s) for s in sets], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads)))],
-                ["key", "size", "fp", "heads"])
+                ["key", "size", "fp", "parity", "heads"])
 
     return run
 
@@ -278,20 +295,57 @@ def _similar(least: float):
     return run
 
 
+def _likely(least: float):
+    """Of the pairs of one slice: those that can reach the similarity by the parities, given beside them."""
+
+    def run(pairs: pa.Table, marks: pa.Table) -> pa.Table:
+        known = dict(zip(marks.column("id").to_pylist(), zip(marks.column("size").to_pylist(), marks.column("parity").to_pylist())))
+        keep = []
+        for left, right in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            (size_a, a), (size_b, b) = known[left], known[right]
+            keep.append(most_shared(size_a, a, size_b, b) * (1 + least) >= least * (size_a + size_b) - 1e-6)
+        return pairs.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _ends(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct()
+
+
+def _cells(links: DataFrame, slices_: int) -> tuple[DataFrame, DataFrame]:
+    """Links with their cell (`part`), one for each pair of slices of `a` and of `b`, and the ids that each cell needs."""
+    slice_of = lambda c: F.pmod(F.xxhash64(c), F.lit(slices_))
+    placed = links.select("a", "b", (slice_of("a") * slices_ + slice_of("b")).alias("part"))
+    ends = placed.select("part", F.col("a").alias("id")).unionByName(placed.select("part", F.col("b").alias("id")))
+    return placed, ends.distinct()
+
+
+def likely_links(links: DataFrame, texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """The links (a, b) that can reach the similarity by the parities of their sets; none that reaches it is lost.
+
+    A parity takes one to two bits for a shingle and a set 64, so most links by chance end here before a set moves.
+    """
+    marks = scratch.store(texts.select("id", "size", "parity").join(_ends(links), "id"))
+    total = marks.agg(F.sum(F.octet_length("parity") + 64)).first()[0] or 0
+    placed, wanted = _cells(links, max(1, -(-total // SLICE_OF_PARITIES)))
+    near = marks.join(wanted, "id").select(F.col("part").alias("at"), "id", "size", "parity")
+    found = scratch.store(placed.groupBy("part").cogroup(near.groupBy("at")).applyInArrow(_likely(similarity), "a bigint, b bigint"))
+    scratch.drop(marks)
+    return found
+
+
 def verified(links: DataFrame, texts: DataFrame, rows: DataFrame, shingle: int, similarity: float, scratch: Scratch) -> DataFrame:
     """The links (a, b) whose texts reach the Jaccard similarity of their shingle sets.
 
-    texts has id, key, size of every different text, rows its text by key. Links meet the sets in cells, one for each pair
-    of slices of `a` and of `b`. A cell gets each of its sets once, however many links name it, so a hub costs one set per
-    cell and not one per link, and no cell holds more than two slices.
+    texts has id, key, size, parity of every different text, rows its text by key. Links that the parities leave meet the
+    sets in cells, one for each pair of slices of `a` and of `b`. A cell gets each of its sets once, however many links
+    name it, so a hub costs one set per cell and not one per link, and no cell holds more than two slices.
     """
-    ends = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id"))).distinct()
-    linked = scratch.store(texts.select("id", "key", "size").join(ends, "id"))
+    links = likely_links(links, texts, similarity, scratch)
+    linked = scratch.store(texts.select("id", "key", "size").join(_ends(links), "id"))
     total = 8 * (linked.agg(F.sum("size")).first()[0] or 0)
-    slices_ = max(1, -(-total // SLICE_OF_SETS))
-    slice_of = lambda c: F.pmod(F.xxhash64(c), F.lit(slices_))
-    placed = links.select("a", "b", (slice_of("a") * slices_ + slice_of("b")).alias("part"))
-    wanted = placed.select("part", F.col("a").alias("id")).unionByName(placed.select("part", F.col("b").alias("id"))).distinct()
+    placed, wanted = _cells(links, max(1, -(-total // SLICE_OF_SETS)))
     wanted = scratch.store(wanted.join(linked.select("id", "key"), "id"))
     # Few linked texts are marked at the scan, and only their sets are shuffled; many meet in a join by key.
     sets = rows.select("key", "__text").join(small_side(linked.select("key"), written=True), "key", "left_semi").mapInArrow(
@@ -299,7 +353,7 @@ def verified(links: DataFrame, texts: DataFrame, rows: DataFrame, shingle: int,
     near = sets.join(small_side(wanted, written=True), "key").select(F.col("part").alias("at"), "id", "shingles")
     found = placed.groupBy("part").cogroup(near.groupBy("at")).applyInArrow(_similar(similarity), "a bigint, b bigint")
     found = scratch.store(found)
-    for done in (linked, wanted):
+    for done in (links, linked, wanted):
         scratch.drop(done)
     scratch.sweep()
     return found
@@ -354,7 +408,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     similarity by their sizes, places and shared shingles. So no pair that reaches it stays in different classes.
     """
     common = common_shingles(rows, shingle)
-    cut = rows.mapInArrow(_prefixes(shingle, similarity, common), "key binary, size int, fp bigint, heads array<bigint>")
+    cut = rows.mapInArrow(_prefixes(shingle, similarity, common), "key binary, size int, fp bigint, parity binary, heads array<bigint>")
     texts = scratch.store(cut.dropDuplicates(["key"]).withColumn("id", F.monotonically_increasing_id()))
     first = scratch.store(texts.groupBy("fp").agg(F.min("id").alias("id")))
     near = close_links(first.select("fp"), bits, scratch, bucket_rows)

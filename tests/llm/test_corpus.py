@@ -186,6 +186,30 @@ def test_full_buckets_of_texts_lose_no_link(spark, monkeypatch, common):
     assert got == want and len(set(want.values())) > 0
 
 
+def test_parities_end_links_by_chance_and_keep_all_similar_ones(spark):
+    rng = np.random.default_rng(6)
+    fresh = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    sets, links, similar = [], [], set()
+    for size in (1, 2, 40, 63, 66, 130, 500, 1020, 1030, 3000):
+        one = fresh(size)
+        for share in (0.0, 0.3, 0.6, 0.85, 0.89, 0.9, 0.95, 1.0):
+            kept = rng.permutation(one)[: round(share * len(one))]
+            other = np.unique(np.concatenate((kept, fresh(size - len(kept) + size // 16))))
+            both = len(np.intersect1d(one, other))
+            at = len(sets)
+            sets += [one, other]
+            links.append((at, at + 1))
+            if both >= 0.8 * (len(one) + len(other) - both):
+                similar.add((at, at + 1))
+            most = simhash.most_shared(len(one), simhash.parity_of(one), len(other), simhash.parity_of(other))
+            assert both <= most
+    texts = spark.createDataFrame(
+        [(i, len(s), bytearray(simhash.parity_of(s))) for i, s in enumerate(sets)], "id bigint, size int, parity binary")
+    frame = spark.createDataFrame(links, "a bigint, b bigint")
+    left = {tuple(r) for r in simhash.likely_links(frame, texts, 0.8, Scratch(spark)).collect()}
+    assert similar <= left and len(left) < len(links) / 2 < 2 * len(similar)
+
+
 @pytest.mark.parametrize("bucket_rows", [2, 32])
 def test_classes_of_similar_texts_match_all_pairs(spark, bucket_rows):
     """Chains of edits of texts of many lengths, most of them near the limit, and a line in a third of the texts."""
