@@ -39,14 +39,13 @@ def subtree_aggregate(nodes: DataFrame, values: Mapping[str, str]) -> DataFrame:
     fold = {"sum": F.sum, "min": F.min, "max": F.max}
     state = cut_lineage(nodes.select(*KEY, F.col("parent_id").alias("up"), *values))
     for _ in open_rounds(lambda: state):
-        lifted = state.filter(F.col("up").isNotNull()).select("tree_id", F.col("up").alias("node_id"), *values)
-        merged = (
-            state.select(*KEY, *values)
-            .unionByName(lifted)
-            .groupBy(*KEY)
-            .agg(*[fold[how](c).alias(c) for c, how in values.items()])
-        )
-        state = cut_lineage(merged.join(_double(state), KEY))
+        above = state.select("tree_id", F.col("node_id").alias("up"), F.col("up").alias("__next"))
+        own = state.join(above, ["tree_id", "up"], "left").select(*KEY, F.col("__next").alias("up"), *values)
+        none = F.lit(None).cast(state.schema["up"].dataType)
+        lifted = state.filter(F.col("up").isNotNull()).select("tree_id", F.col("up").alias("node_id"), none.alias("up"), *values)
+        # own rows bring the ancestor twice as far along, so the sums and the next round need one aggregation
+        merged = own.unionByName(lifted).groupBy(*KEY)
+        state = cut_lineage(merged.agg(F.max("up").alias("up"), *[fold[how](c).alias(c) for c, how in values.items()]))
     return state.drop("up")
 
 
@@ -245,50 +244,50 @@ def rooting_scores(nodes: DataFrame, leaf_lineages: DataFrame) -> DataFrame:
     the node below it. Re-rooting turns only the clades on the path to the old root
     round, so each directed branch is weighed once and the path is summed up.
     """
+    def weight(n: Column, v: Column, low: Column, high: Column) -> tuple[Column, Column]:
+        counts = (v > 0) & (v * 2 >= n)
+        return F.when(counts, F.size(common_prefix(low, high)) * n).otherwise(0), F.when(counts, n).otherwise(0)
+
     down = clade_lineages(nodes, leaf_lineages)
+    d_num, d_den = weight(F.col("n_leaves"), F.col("n_voters"), F.col("low"), F.col("high"))
+    inner = ~F.col("is_leaf")
     base = cut_lineage(
-        nodes.select(*KEY, "parent_id", "is_leaf", "branch_length").join(
-            down.select(*KEY, F.col("n_leaves").alias("dn"), F.col("n_voters").alias("dv"), "low", "high"), KEY
+        nodes.select(*KEY, "parent_id", "is_leaf", "branch_length").join(down, KEY).select(
+            *KEY, "parent_id", "branch_length", F.col("n_leaves").alias("dn"), F.col("n_voters").alias("dv"), "low", "high",
+            F.when(inner, d_num).otherwise(0).alias("d_num"), F.when(inner, d_den).otherwise(0).alias("d_den"),
         )
     )
-    # children of a node: two smallest and two largest arrays serve every "all but one"
+    # children of a node: the smallest and the largest array, and the next ones, serve every "all but one"
+    parent = ["tree_id", "parent_id"]
     kids = base.filter(F.col("parent_id").isNotNull())
-    lows = first_k(kids.filter(F.col("low").isNotNull()), ["tree_id", "parent_id"], [F.col("low"), F.col("node_id")], 2, "r")
-    highs = first_k(kids.filter(F.col("high").isNotNull()), ["tree_id", "parent_id"], [F.desc("high"), F.col("node_id")], 2, "r")
-    ends = lambda rows, c: rows.groupBy("tree_id", "parent_id").agg(
-        F.max(F.when(F.col("r") == 1, F.struct("node_id", c))).alias(f"{c}1"),
-        F.max(F.when(F.col("r") == 2, F.struct("node_id", c))).alias(f"{c}2"),
+    first = kids.groupBy(*parent).agg(
+        F.count(F.lit(1)).alias("n_kids"),
+        F.min(F.when(F.col("low").isNotNull(), F.struct("low", "node_id"))).alias("lows"),
+        F.max(F.when(F.col("high").isNotNull(), F.struct("high", "node_id"))).alias("highs"),
     )
-    n_kids = kids.groupBy("tree_id", "parent_id").agg(F.count(F.lit(1)).alias("n_kids"))
-    sib = (
-        kids.join(ends(lows, "low"), ["tree_id", "parent_id"], "left")
-        .join(ends(highs, "high"), ["tree_id", "parent_id"], "left")
-        .join(n_kids, ["tree_id", "parent_id"])
-    )
-    other = lambda c: F.when(F.col(f"{c}1.node_id") == F.col("node_id"), F.col(f"{c}2.{c}")).otherwise(F.col(f"{c}1.{c}"))
-    sib = cut_lineage(sib.select(*KEY, "parent_id", "n_kids", other("low").alias("sib_low"), other("high").alias("sib_high")))
-    roots = base.filter(F.col("parent_id").isNull())
+    among = kids.join(first, parent)
+    lowest, highest = (F.coalesce(F.col("node_id") == F.col(f"{c}.node_id"), F.lit(False)) for c in ("lows", "highs"))
+    second = among.groupBy(*parent).agg(F.min(F.when(~lowest, F.col("low"))).alias("low2"), F.max(F.when(~highest, F.col("high"))).alias("high2"))
+    carried = [*KEY, "parent_id", "branch_length", "dn", "dv", "d_num", "d_den"]
     none = F.lit(None).cast(base.schema["low"].dataType)
-    path = sib.select(*KEY, "parent_id", "sib_low", "sib_high").unionByName(
-        roots.select(*KEY, "parent_id", none.alias("sib_low"), none.alias("sib_high"))
+    roots = base.filter(F.col("parent_id").isNull())
+    sib = cut_lineage(
+        among.join(second, parent).select(
+            *carried, "n_kids",
+            F.when(lowest, F.col("low2")).otherwise(F.col("lows.low")).alias("sib_low"),
+            F.when(highest, F.col("high2")).otherwise(F.col("highs.high")).alias("sib_high"),
+        ).unionByName(roots.select(*carried, F.lit(None).cast("bigint").alias("n_kids"), none.alias("sib_low"), none.alias("sib_high")))
     )
-    up = path_ends(path, "sib_low", "sib_high")
-    whole = roots.select("tree_id", F.col("node_id").alias("__root"), F.col("dn").alias("all_n"), F.col("dv").alias("all_v"), F.col("low").alias("all_low"), F.col("high").alias("all_high"))
-
-    def weight(n: Column, v: Column, low: Column, high: Column) -> tuple[Column, Column]:
-        counts = (v > 0) & (v * 2 >= n)
-        return F.when(counts, F.size(common_prefix(low, high)) * n).otherwise(0), F.when(counts, n).otherwise(0)
-
-    edges = base.join(up, KEY).join(sib.select(*KEY, "n_kids"), KEY, "left").join(whole, "tree_id")
-    inner = ~F.col("is_leaf")
-    d_num, d_den = weight(F.col("dn"), F.col("dv"), F.col("low"), F.col("high"))
+    up = path_ends(sib.select(*KEY, "parent_id", "sib_low", "sib_high"), "sib_low", "sib_high")
+    a_num, a_den = weight(F.col("dn"), F.col("dv"), F.col("low"), F.col("high"))
+    whole = roots.select(
+        "tree_id", F.col("node_id").alias("__root"), F.col("dn").alias("all_n"), F.col("dv").alias("all_v"), a_num.alias("a_num"), a_den.alias("a_den"))
+    edges = sib.drop("sib_low", "sib_high").join(up, KEY).join(whole, "tree_id")
     u_num, u_den = weight(F.col("all_n") - F.col("dn"), F.col("all_v") - F.col("dv"), F.col("sib_low"), F.col("sib_high"))
-    a_num, a_den = weight(F.col("all_n"), F.col("all_v"), F.col("all_low"), F.col("all_high"))
     weighed = cut_lineage(
         edges.select(
-            *KEY, "parent_id", "branch_length", "n_kids", "__root",
-            F.when(inner, d_num).otherwise(0).alias("d_num"), F.when(inner, d_den).otherwise(0).alias("d_den"),
-            u_num.alias("u_num"), u_den.alias("u_den"), a_num.alias("a_num"), a_den.alias("a_den"),
+            *KEY, "parent_id", "branch_length", "n_kids", "__root", "d_num", "d_den",
+            u_num.alias("u_num"), u_den.alias("u_den"), "a_num", "a_den",
         )
     )
     # below an old root with two branches the turned root clade vanishes

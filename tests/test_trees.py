@@ -3,6 +3,7 @@ import random
 import pytest
 
 from sparkcurate.operators import lineage, trees
+from sparkcurate.session import cut_lineage
 from sparkcurate.sources.newick import good_nodes, parse_newick, rejects
 
 NODES = "tree_id string, node_id int, parent_id int, preorder int, is_leaf boolean, name string, branch_length double, confidence double"
@@ -196,3 +197,24 @@ def test_a_cyclic_tree_is_refused(spark):
     nodes = spark.createDataFrame(rows, NODES).selectExpr("*", "1L AS n")
     with pytest.raises(ValueError, match="cycle"):
         trees.subtree_aggregate(nodes, {"n": "sum"})
+
+
+def test_rooting_scores_shuffle_nodes_few_times(spark, monkeypatch):
+    """Steps of a round share their shuffles; wide rows are not dealt anew for each statistic."""
+    dealt = []
+
+    def counted(df):
+        dealt.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(trees, "cut_lineage", counted)
+    rows = [(1, n, n // 2 or None, n, n > 7, f"L{n}" if n > 7 else None, 1.0, None) for n in range(1, 16)]
+    nodes = spark.createDataFrame(
+        rows, "tree_id int, node_id int, parent_id int, preorder int, is_leaf boolean, name string, branch_length double, confidence double")
+    lineages = spark.createDataFrame([(1, f"L{n}", ["r", f"A{n % 3}"]) for n in range(8, 16)], "tree_id int, name string, lineage array<string>")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert trees.rooting_scores(nodes, lineages).count() == 14
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(dealt) <= 26, dealt  # 29 when each statistic had its own
