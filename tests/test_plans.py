@@ -60,6 +60,12 @@ def test_only_needed_columns_are_read(spark):
     assert "EqualTo(quality,1)" in plan
 
 
+@needs_data
+def test_outlier_counts_assemble_the_genomes_once(spark):
+    plan = plan_of(entry_module.queries()["e5_marker_outlier_counts"](spark, DATA))
+    assert "lineitem" not in plan and "ExistingRDD" in plan
+
+
 @needs_data
 def test_flagship_runs(spark):
     out = entry_module.entry(spark)
