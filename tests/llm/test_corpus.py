@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -232,6 +233,21 @@ def test_classes_of_similar_texts_match_all_pairs(spark, bucket_rows):
     assert banded > 10
 
 
+def test_windows_with_few_words_of_an_item_are_not_counted(monkeypatch):
+    words = [f"w{i}".encode() for i in range(10)]
+    weight = np.array([10.0] + [1.0] * 9, np.float32)
+    basis = np.eye(10, dtype=np.float32)
+    model = ({w: i for i, w in enumerate(words)}, weight, basis, [(7, words, 8)], [(0, None)], weight[None, :].copy())
+    search = decontamination._search(["doc_id"], *model, decontamination.LeakRules())
+    made = []
+    monkeypatch.setattr(decontamination, "Counter", lambda x: made.append(x) or Counter(x))
+    texts = ["w0 " + "other " * 30, b" ".join(words).decode(), ""]  # the first is near the item by its heaviest word only
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(texts)], ["doc_id", "__text"])
+    rows = [r for out in search(iter([batch])) for r in out.to_pylist()]
+    assert [(r["doc_id"], r["item_id"], r["lcs_share"], r["word"]) for r in rows] == [(2, 7, 1.0, 0)]
+    assert len(made) == 1
+
+
 def test_token_counts_and_cache(spark, docs, rows, empty, tmp_path):
     from tokenizers import Tokenizer
 
