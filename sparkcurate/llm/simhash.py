@@ -37,6 +37,8 @@ SPARE_BLOCKS = 4
 #: Texts in which common shingles are looked for, and how many of those are kept; both change only the work.
 SAMPLE = 1 << 15
 COMMON = 1 << 16
+#: Shingles of full blocks that each new order of the shingles learns; it changes only the work, too.
+LEARNED = 1 << 18
 #: Texts that a family of full blocks is compared with first, and parts of the shingle values in which shared ones are counted.
 HUBS = 4
 PARTS = 16
@@ -194,8 +196,8 @@ def _sampled_shingles(shingle: int):
     return run
 
 
-def common_shingles(rows: DataFrame, shingle: int) -> np.ndarray:
-    """Shingles of four or more of SAMPLE texts, the most common last; at most COMMON of them.
+def common_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of four or more of SAMPLE texts, the most common last, at most COMMON of them; and in how many texts they are.
 
     They only say which shingles a prefix takes last. Any order that is the same for all texts gives the same
     links, so the sample and the limit change the work and never the result.
@@ -204,7 +206,19 @@ def common_shingles(rows: DataFrame, shingle: int) -> np.ndarray:
     chosen = rows.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(share * (1 << 20)))
     counts = chosen.select("key", "__text").mapInArrow(_sampled_shingles(shingle), "shingle bigint, n bigint")
     top = counts.groupBy("shingle").agg(F.sum("n").alias("n")).filter("n >= 4").orderBy(F.desc("n"), "shingle").limit(COMMON)
-    return np.array([r.shingle for r in top.collect()][::-1], np.int64).view(np.uint64)
+    found = top.collect()[::-1]
+    return np.array([r.shingle for r in found], np.int64).view(np.uint64), np.array([r.n / share for r in found])
+
+
+def with_full_blocks(known: tuple[np.ndarray, np.ndarray], full: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The common shingles with the LEARNED fullest blocks among them, the most common last. full: block, n."""
+    told = full.select("block", "n").orderBy(F.desc("n"), "block").limit(LEARNED).toArrow()
+    values = np.concatenate([known[0], told.column("block").to_numpy().astype(np.int64).view(np.uint64)])
+    values, back = np.unique(values, return_inverse=True)
+    most = np.zeros(len(values))
+    np.maximum.at(most, back, np.concatenate([known[1], told.column("n").to_numpy()]))
+    order = np.argsort(most, kind="stable")
+    return values[order], most[order]
 
 
 def prefix_of(found: np.ndarray, similarity: float, values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
@@ -233,15 +247,33 @@ def most_shared(size_a: int, parity_a: bytes, size_b: int, parity_b: bytes) -> f
     return (size_a + size_b - int(np.bitwise_count(odd).sum())) / 2
 
 
+def _heads(shingle: int, similarity: float, common: np.ndarray):
+    """Of each different text of a task: key, later (its prefix in the order that ends with the common shingles)."""
+    order = np.argsort(common)
+    values = common[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        speller = Speller(Scheme("words", shingle, 0))
+        for keys, piece in _different(batches):
+            heads = [prefix_of(s, similarity, values, order).view(np.int64) for s in _sets_of(piece, speller, shingle)]
+            ends = np.cumsum([0, *(len(h) for h in heads)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(heads)))],
+                ["key", "later"])
+
+    return run
+
+
 def _prefixes(shingle: int, similarity: float, common: np.ndarray):
     """Of each different text of a task: key, size (shingles), fp (SimHash over the set), parity, heads (its prefix)."""
     order = np.argsort(common)
+    values = common[order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(Scheme("words", shingle, 0))
         for keys, piece in _different(batches):
             sets = _sets_of(piece, speller, shingle)
-            heads = [prefix_of(s, similarity, common[order], order).view(np.int64) for s in sets]
+            heads = [prefix_of(s, similarity, values, order).view(np.int64) for s in sets]
             prints = np.array([majority(s) for s in sets], np.uint64).view(np.int64)
             ends = np.cumsum([0, *(len(h) for h in heads)])
             yield pa.RecordBatch.from_arrays(
@@ -396,6 +428,47 @@ def _shared(texts: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -
     return found
 
 
+def _spread(texts: DataFrame) -> DataFrame:
+    return texts.select("id", "size", F.posexplode("heads").alias("pos", "block"))
+
+
+def _across(owned: DataFrame, texts: DataFrame, counts: DataFrame, common: tuple[np.ndarray, np.ndarray], rows: DataFrame,
+            shingle: int, similarity: float, scratch: Scratch, bucket_rows: int) -> DataFrame:
+    """Pairs a, b of different classes that share full blocks only and may reach the similarity.
+
+    owned: block, id, class of the full blocks of several classes; counts: block, n of all. Such a block is full because
+    the order took its shingle for a rare one. So full blocks become common ones, and the texts in them get new prefixes
+    in that order, one for all of them: two that are alike share a shingle of these. Where both had it in the first
+    prefix, and not as a full block, they are proposed already, so only shingles that are new in a prefix, or still full,
+    are dealt into blocks, with the texts that had them before. Of blocks of up to `bucket_rows` texts all pairs are
+    proposed, of fuller ones those that sizes and shared shingles allow.
+    """
+    members = owned.groupBy("id").agg(F.min("class").alias("class"), F.collect_set("block").alias("full"))
+    members = scratch.store(members.join(texts.select("id", "key", "size", "heads"), "id"))
+    order = with_full_blocks(common, counts.filter(F.col("n") > bucket_rows))[0]
+    later = rows.select("key", "__text").join(small_side(members.select("key"), written=True), "key", "left_semi").mapInArrow(
+        _heads(shingle, similarity, order), "key binary, later array<bigint>").dropDuplicates(["key"])
+    new = F.array_union(F.array_except("later", "heads"), F.array_intersect("later", "full"))
+    fresh = scratch.store(later.join(members, "key").select("id", "size", "class", F.explode(new).alias("block")))
+    before = _spread(members).join(fresh.select("block").distinct(), "block", "left_semi").join(members.select("id", "class"), "id")
+    placed = scratch.store(fresh.unionByName(before.drop("pos")).distinct())
+    filled = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"))
+    placed = scratch.store(placed.join(scratch.store(filled.filter("lo <> hi").select("block", "n")), "block"))
+    # Places in two orders say nothing about each other, so none is looked at.
+    placed = placed.withColumn("pos", F.lit(0))
+    different = F.col("class_a") < F.col("class_b")
+    few = placed.filter(F.col("n") <= bucket_rows).drop("n")
+    pairs = scratch.store(_paired(few, few, different & _able(similarity)).distinct())
+    full = placed.filter(F.col("n") > bucket_rows).drop("n")
+    left = scratch.store(members.select("id", "key").join(full.select("id").distinct(), "id", "left_semi"))
+    if not left.isEmpty():
+        able = _shared(left, rows, shingle, scratch)
+        # A text that shares less than `similarity` of its shingles with all others is like none of them.
+        full = scratch.store(full.join(able, "id").filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6))
+        pairs = pairs.unionByName(_paired(full, full, different & _able(similarity, shared=True))).distinct()
+    return pairs
+
+
 def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
                     bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """rows: key, __text. Returns node, root (least key) of the classes of texts tied by the similarity.
@@ -404,11 +477,11 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     of the elements (Chaudhuri et al., "A Primitive Operator for Similarity Joins", 2006). With rare shingles first few
     texts meet by chance. SimHash pairs and all pairs of blocks of up to `bucket_rows` texts are verified; in fuller
     blocks each text is verified against a hub, one of HUBS as the block has it. What that ties is one class, and a full
-    block of one class is settled; in the others all pairs of different classes are verified that can reach the
-    similarity by their sizes, places and shared shingles. So no pair that reaches it stays in different classes.
+    block of one class is settled; the texts of the others meet once more in an order that knows the full blocks (see
+    _across). So no pair that reaches the similarity stays in different classes.
     """
     common = common_shingles(rows, shingle)
-    cut = rows.mapInArrow(_prefixes(shingle, similarity, common), "key binary, size int, fp bigint, parity binary, heads array<bigint>")
+    cut = rows.mapInArrow(_prefixes(shingle, similarity, common[0]), "key binary, size int, fp bigint, parity binary, heads array<bigint>")
     texts = scratch.store(cut.dropDuplicates(["key"]).withColumn("id", F.monotonically_increasing_id()))
     first = scratch.store(texts.groupBy("fp").agg(F.min("id").alias("id")))
     near = close_links(first.select("fp"), bits, scratch, bucket_rows)
@@ -418,7 +491,7 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     alike = texts.select("fp", "id").join(first.withColumnRenamed("id", "a"), "fp").filter("a <> id").select(
         "a", F.col("id").alias("b"))
 
-    keyed = texts.select("id", "size", F.posexplode("heads").alias("pos", "block"))
+    keyed = _spread(texts)
     counts = scratch.store(keyed.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     placed = scratch.store(keyed.join(counts, "block"))
     scratch.sweep()
@@ -434,18 +507,14 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     classes = scratch.store(components(links, scratch))
 
     owned = full.join(classes.withColumnRenamed("node", "id"), "id", "left")
-    owned = scratch.store(owned.select("block", "id", "size", "pos", F.coalesce("root", "id").alias("class")))
+    owned = scratch.store(owned.select("block", "id", F.coalesce("root", "id").alias("class")))
     mixed = owned.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("block")
     owned = scratch.store(owned.join(scratch.store(mixed), "block"))
-    for done in (counts, placed, hubs, proposals, links, first):
+    for done in (placed, hubs, proposals, links, first):
         scratch.drop(done)
     if not owned.isEmpty():
-        told = scratch.store(texts.select("id", "key").join(owned.select("id").distinct(), "id"))
-        able = _shared(told, rows, shingle, scratch)
-        # A text that shares less than `similarity` of its shingles with all others is like none of them.
-        owned = scratch.store(owned.join(able, "id").filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6))
-        across = _paired(owned, owned, (F.col("class_a") < F.col("class_b")) & _able(similarity, shared=True))
-        more = verified(scratch.store(across.distinct()), texts, rows, shingle, similarity, scratch)
+        across = scratch.store(_across(owned, texts, counts, common, rows, shingle, similarity, scratch, bucket_rows))
+        more = verified(across, texts, rows, shingle, similarity, scratch)
         tied = classes.select(F.col("node").alias("a"), F.col("root").alias("b"))
         classes = scratch.store(components(tied.unionByName(more), scratch))
     named = classes.join(texts.select(F.col("id").alias("node"), "key"), "node")

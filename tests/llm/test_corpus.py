@@ -187,6 +187,29 @@ def test_full_buckets_of_texts_lose_no_link(spark, monkeypatch, common):
     assert got == want and len(set(want.values())) > 0
 
 
+def test_full_blocks_of_unlike_texts_are_ordered_anew(spark, monkeypatch):
+    """A line that no sample shows to be common fills blocks of unlike texts; their other shingles tell them apart."""
+    monkeypatch.setattr(simhash, "COMMON", 0)
+    counted_texts = []
+    shared = simhash._shared
+    monkeypatch.setattr(simhash, "_shared", lambda texts, *a: counted_texts.append(texts.count()) or shared(texts, *a))
+    rng = random.Random(9)
+    line = [f"l{i}" for i in range(12)]
+    texts = set()
+    for _ in range(120):
+        words = [f"w{rng.randrange(100000)}" for _ in range(80)]
+        texts.add(" ".join(words + line))
+        if rng.random() < 0.3:  # one word differs
+            texts.add(" ".join([*words[:40], "x", *words[41:], *line]))
+    texts = sorted(t.encode() for t in texts)
+    keys = [i.to_bytes(16, "big") for i in range(len(texts))]
+    rows = spark.createDataFrame(list(zip(keys, [t.decode() for t in texts])), "key binary, __text string")
+    got = {bytes(r.node): bytes(r.root) for r in simhash.similar_classes(rows, 5, 0.8, 2, Scratch(spark), 8).collect()}
+    want = brute_classes(texts, keys)[0]
+    assert got == want and len(want) > 20
+    assert sum(counted_texts) == 0
+
+
 def test_parities_end_links_by_chance_and_keep_all_similar_ones(spark):
     rng = np.random.default_rng(6)
     fresh = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
