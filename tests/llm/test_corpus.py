@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from sparkcurate.llm import decontamination, mixing, phrases, quality, revisits, sharding, simhash, suffixes, tokens, toxicity
+from sparkcurate.llm import decontamination, mixing, phrases, quality, recurrence, revisits, sharding, simhash, suffixes, tokens, toxicity
 from sparkcurate.llm.common import Scratch
 from sparkcurate.llm.components import components
 
@@ -256,6 +257,19 @@ def test_classes_of_similar_texts_match_all_pairs(spark, bucket_rows):
     assert banded > 10
 
 
+def test_blocks_of_bytes_take_little_memory():
+    """A task of op10 finds the anchors of a slice of texts with two more workers beside it."""
+    scheme = recurrence.Scheme("bytes", 400, 16)
+    text = np.random.default_rng(3).integers(0, 256, 1 << 22, dtype=np.uint8).tobytes()
+    recurrence._powers.cache_clear()
+    tracemalloc.start()
+    starts = sum(int((f.last - f.first + 1).sum()) for f in (
+        recurrence.blocks(*chunk, scheme) for chunk in recurrence.chunks([text], recurrence.Speller(scheme))))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert starts == len(text) - 399 and peak < 120 << 20
+
+
 def test_windows_with_few_words_of_an_item_are_not_counted(monkeypatch):
     words = [f"w{i}".encode() for i in range(10)]
     weight = np.array([10.0] + [1.0] * 9, np.float32)
