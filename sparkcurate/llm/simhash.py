@@ -39,7 +39,7 @@ SAMPLE = 1 << 15
 COMMON = 1 << 16
 #: Shingles of full blocks that each new order of the shingles learns; it changes only the work, too.
 LEARNED = 1 << 18
-#: Texts that a family of full blocks is compared with first, and parts of the shingle values in which shared ones are counted.
+#: Turns of the hubs that full blocks are compared with first, and parts of the shingle values in which shared ones are counted.
 HUBS = 4
 PARTS = 16
 #: Bytes of shingle sets that one task compares at a time.
@@ -391,20 +391,27 @@ def verified(links: DataFrame, texts: DataFrame, rows: DataFrame, shingle: int,
     return found
 
 
-def _able(similarity: float, shared: bool = False) -> Column:
-    """Whether a pair can reach the similarity.
-
-    At the first shingle of both prefixes what is left of either bounds what they share; with `shared` so do the
-    shingles that each has in common with any other, counted in parts.
-    """
+def _able(similarity: float) -> Column:
+    """Whether a pair can reach the similarity: at the first shingle of both prefixes what is left of either bounds what they share."""
     most = F.least(F.col("size_a") - F.col("pos_a"), F.col("size_b") - F.col("pos_b"))
-    if shared:
-        most = F.least(most, _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b))))
     return most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
 
 
-def _total(counts: Column) -> Column:
-    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+def _reaching(placed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """placed: block, id, size, pos, class. The rows of blocks of several classes that can be alike to any text of their block.
+
+    A row far back in its prefix is only alike to shorter texts; the least size of the block tells whether there are such.
+    """
+    least = scratch.store(placed.groupBy("block").agg(F.min("size").alias("least")))
+    partner = F.greatest(F.col("least"), F.col("size") * similarity)
+    enough = (F.col("size") - F.col("pos")) * (1 + similarity) >= similarity * (F.col("size") + partner) - 1e-6
+    near = scratch.store(placed.join(least, "block").filter(enough).drop("least"))
+    spans = near.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
+    mixed = scratch.store(spans.filter("lo <> hi").select("block"))
+    found = scratch.store(near.join(mixed, "block"))
+    for done in (least, near, mixed):
+        scratch.drop(done)
+    return found
 
 
 def _paired(left: DataFrame, right: DataFrame, wanted: Column) -> DataFrame:
@@ -414,6 +421,10 @@ def _paired(left: DataFrame, right: DataFrame, wanted: Column) -> DataFrame:
         F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"))
 
 
+def _total(counts: Column) -> Column:
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
 def _shared(texts: DataFrame, rows: DataFrame, shingle: int, scratch: Scratch) -> DataFrame:
     """texts: id, key. Of each the shingles it has in common with another one of them: id, shared (counts in PARTS parts)."""
     told = rows.select("key", "__text").join(small_side(texts.select("key"), written=True), "key", "left_semi").mapInArrow(
@@ -434,39 +445,30 @@ def _spread(texts: DataFrame) -> DataFrame:
 
 def _across(owned: DataFrame, texts: DataFrame, counts: DataFrame, common: tuple[np.ndarray, np.ndarray], rows: DataFrame,
             shingle: int, similarity: float, scratch: Scratch, bucket_rows: int) -> DataFrame:
-    """Pairs a, b of different classes that share full blocks only and may reach the similarity.
+    """Pairs a, b of different classes that meet first in a full block and may reach the similarity.
 
     owned: block, id, class of the full blocks of several classes; counts: block, n of all. Such a block is full because
     the order took its shingle for a rare one. So full blocks become common ones, and the texts in them get new prefixes
-    in that order, one for all of them: two that are alike share a shingle of these. Where both had it in the first
-    prefix, and not as a full block, they are proposed already, so only shingles that are new in a prefix, or still full,
-    are dealt into blocks, with the texts that had them before. Of blocks of up to `bucket_rows` texts all pairs are
-    proposed, of fuller ones those that sizes and shared shingles allow.
+    in that order, one for all of them: two that are alike have a first shingle in common there, and the places of that
+    one tell whether they can be. A text with more shingles of its own than it may differ by has the common ones too far
+    back to meet any text of its size, and a block whose other texts are one class is settled. Of more than `bucket_rows`
+    pairs a text those stay that the shingles which both have in common with any other, counted in parts, allow.
     """
-    members = owned.groupBy("id").agg(F.min("class").alias("class"), F.collect_set("block").alias("full"))
-    members = scratch.store(members.join(texts.select("id", "key", "size", "heads"), "id"))
+    members = scratch.store(owned.groupBy("id").agg(F.min("class").alias("class")).join(texts.select("id", "key", "size"), "id"))
     order = with_full_blocks(common, counts.filter(F.col("n") > bucket_rows))[0]
     later = rows.select("key", "__text").join(small_side(members.select("key"), written=True), "key", "left_semi").mapInArrow(
         _heads(shingle, similarity, order), "key binary, later array<bigint>").dropDuplicates(["key"])
-    new = F.array_union(F.array_except("later", "heads"), F.array_intersect("later", "full"))
-    fresh = scratch.store(later.join(members, "key").select("id", "size", "class", F.explode(new).alias("block")))
-    before = _spread(members).join(fresh.select("block").distinct(), "block", "left_semi").join(members.select("id", "class"), "id")
-    placed = scratch.store(fresh.unionByName(before.drop("pos")).distinct())
-    filled = placed.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("lo"), F.max("class").alias("hi"))
-    placed = scratch.store(placed.join(scratch.store(filled.filter("lo <> hi").select("block", "n")), "block"))
-    # Places in two orders say nothing about each other, so none is looked at.
-    placed = placed.withColumn("pos", F.lit(0))
-    different = F.col("class_a") < F.col("class_b")
-    few = placed.filter(F.col("n") <= bucket_rows).drop("n")
-    pairs = scratch.store(_paired(few, few, different & _able(similarity)).distinct())
-    full = placed.filter(F.col("n") > bucket_rows).drop("n")
-    left = scratch.store(members.select("id", "key").join(full.select("id").distinct(), "id", "left_semi"))
-    if not left.isEmpty():
-        able = _shared(left, rows, shingle, scratch)
-        # A text that shares less than `similarity` of its shingles with all others is like none of them.
-        full = scratch.store(full.join(able, "id").filter(_total(F.col("shared")) >= similarity * F.col("size") - 1e-6))
-        pairs = pairs.unionByName(_paired(full, full, different & _able(similarity, shared=True))).distinct()
-    return pairs
+    placed = later.join(members, "key").select("id", "size", "class", F.posexplode("later").alias("pos", "block"))
+    placed = _reaching(scratch.store(placed), similarity, scratch)
+    pairs = scratch.store(_paired(placed, placed, (F.col("class_a") < F.col("class_b")) & _able(similarity)).distinct())
+    ends = _ends(pairs)
+    if pairs.count() <= bucket_rows * ends.count():
+        return pairs
+    told = scratch.store(_shared(members.join(ends, "id").select("id", "key"), rows, shingle, scratch).join(members.select("id", "size"), "id"))
+    of = lambda c: told.select(*(F.col(n).alias(f"{n}_{c}") for n in told.columns), F.col("id").alias(c))
+    most = _total(F.zip_with("shared_a", "shared_b", lambda a, b: F.least(a, b)))
+    enough = most * (1 + similarity) >= similarity * (F.col("size_a") + F.col("size_b")) - 1e-6
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(enough).select("a", "b")
 
 
 def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int, scratch: Scratch,
@@ -476,9 +478,10 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     Two sets of Jaccard similarity s have an element in common among the first n - ceil(s n) + 1 of each, in any order
     of the elements (Chaudhuri et al., "A Primitive Operator for Similarity Joins", 2006). With rare shingles first few
     texts meet by chance. SimHash pairs and all pairs of blocks of up to `bucket_rows` texts are verified; in fuller
-    blocks each text is verified against a hub, one of HUBS as the block has it. What that ties is one class, and a full
-    block of one class is settled; the texts of the others meet once more in an order that knows the full blocks (see
-    _across). So no pair that reaches the similarity stays in different classes.
+    blocks each text is verified against two hubs: the text that has the block first in its prefix, so with fewest shingles
+    of its own, and one of HUBS as the block has it. What that ties is one class, and a full block of one class is settled,
+    but for texts that have it too far back for any partner (see _reaching); the texts of the others meet once more in an
+    order that knows the full blocks (see _across). So no pair that reaches the similarity stays in different classes.
     """
     common = common_shingles(rows, shingle)
     cut = rows.mapInArrow(_prefixes(shingle, similarity, common[0]), "key binary, size int, fp bigint, parity binary, heads array<bigint>")
@@ -498,8 +501,12 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     few = placed.filter(F.col("n") <= bucket_rows).drop("n")
     full = placed.filter(F.col("n") > bucket_rows).drop("n")
     turn = F.xxhash64("id", F.pmod("block", F.lit(HUBS)))
-    hubs = full.groupBy("block").agg(F.min(F.struct(turn.alias("turn"), "id", "size", "pos")).alias("hub"))
-    hubs = scratch.store(hubs.select("block", "hub.id", "hub.size", "hub.pos"))
+    early = F.col("pos") / F.col("size")
+    hubs = full.groupBy("block").agg(
+        F.min(F.struct(early.alias("early"), -F.col("size"), turn.alias("turn"), "id", "size", "pos")).alias("first"),
+        F.min(F.struct(turn.alias("turn"), "id", "size", "pos")).alias("any"))
+    hubs = scratch.store(hubs.select("block", "first.id", "first.size", "first.pos").unionByName(
+        hubs.select("block", "any.id", "any.size", "any.pos")).distinct())
     pairs = _paired(few, few, (F.col("id_a") < F.col("id_b")) & _able(similarity))
     stars = _paired(hubs, full, (F.col("id_a") != F.col("id_b")) & _able(similarity))
     proposals = scratch.store(printed.unionByName(alike).unionByName(pairs).unionByName(stars).distinct())
@@ -507,9 +514,8 @@ def similar_classes(rows: DataFrame, shingle: int, similarity: float, bits: int,
     classes = scratch.store(components(links, scratch))
 
     owned = full.join(classes.withColumnRenamed("node", "id"), "id", "left")
-    owned = scratch.store(owned.select("block", "id", F.coalesce("root", "id").alias("class")))
-    mixed = owned.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("block")
-    owned = scratch.store(owned.join(scratch.store(mixed), "block"))
+    owned = owned.select("block", "id", "size", "pos", F.coalesce("root", "id").alias("class"))
+    owned = _reaching(scratch.store(owned), similarity, scratch)
     for done in (placed, hubs, proposals, links, first):
         scratch.drop(done)
     if not owned.isEmpty():

@@ -211,6 +211,37 @@ def test_full_blocks_of_unlike_texts_are_ordered_anew(spark, monkeypatch):
     assert sum(counted_texts) == 0
 
 
+def test_families_of_near_copies_make_few_pairs(spark, monkeypatch):
+    """Edits of one text, a third of them too far from it: full blocks of many classes must not propose all pairs."""
+    made, paired = [], simhash._paired
+    monkeypatch.setattr(simhash, "_paired", lambda *a: made.append(paired(*a)) or made[-1])
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    texts = {" ".join(base)}
+    for i in range(240):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 6)):
+            words[at] = f"x{i}-{at}"
+        texts.add(" ".join(words))
+    texts = sorted(t.encode() for t in texts)
+    keys = [i.to_bytes(16, "big") for i in range(len(texts))]
+    rows = spark.createDataFrame(list(zip(keys, [t.decode() for t in texts])), "key binary, __text string")
+    made_rows = []
+    across = simhash._across
+
+    def counted(*args):
+        before = len(made)
+        out = across(*args)
+        made_rows.extend(p.count() for p in made[before:])
+        return out
+
+    monkeypatch.setattr(simhash, "_across", counted)
+    got = {bytes(r.node): bytes(r.root) for r in simhash.similar_classes(rows, 5, 0.8, 2, Scratch(spark), 8).collect()}
+    want = brute_classes(texts, keys)[0]
+    assert got == want and 100 < len(want) < len(texts) - 20
+    assert sum(made_rows) < 10 * len(texts)
+
+
 def test_parities_end_links_by_chance_and_keep_all_similar_ones(spark):
     rng = np.random.default_rng(6)
     fresh = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
