@@ -402,12 +402,13 @@ def _reaching(placed: DataFrame, similarity: float, scratch: Scratch) -> DataFra
 
     A row far back in its prefix is only alike to shorter texts; the least size of the block tells whether there are such.
     """
-    least = scratch.store(placed.groupBy("block").agg(F.min("size").alias("least")))
+    spans = [F.min("class").alias("lo"), F.max("class").alias("hi")]
+    least = placed.groupBy("block").agg(F.min("size").alias("least"), *spans).filter("lo <> hi")
+    least = scratch.store(least.select("block", "least"))
     partner = F.greatest(F.col("least"), F.col("size") * similarity)
     enough = (F.col("size") - F.col("pos")) * (1 + similarity) >= similarity * (F.col("size") + partner) - 1e-6
     near = scratch.store(placed.join(least, "block").filter(enough).drop("least"))
-    spans = near.groupBy("block").agg(F.min("class").alias("lo"), F.max("class").alias("hi"))
-    mixed = scratch.store(spans.filter("lo <> hi").select("block"))
+    mixed = scratch.store(near.groupBy("block").agg(*spans).filter("lo <> hi").select("block"))
     found = scratch.store(near.join(mixed, "block"))
     for done in (least, near, mixed):
         scratch.drop(done)
@@ -447,18 +448,23 @@ def _across(owned: DataFrame, texts: DataFrame, counts: DataFrame, common: tuple
             shingle: int, similarity: float, scratch: Scratch, bucket_rows: int) -> DataFrame:
     """Pairs a, b of different classes that meet first in a full block and may reach the similarity.
 
-    owned: block, id, class of the full blocks of several classes; counts: block, n of all. Such a block is full because
+    owned: block, id, pos, class of the full blocks of several classes; counts: block, n of all. Such a block is full because
     the order took its shingle for a rare one. So full blocks become common ones, and the texts in them get new prefixes
     in that order, one for all of them: two that are alike have a first shingle in common there, and the places of that
     one tell whether they can be. A text with more shingles of its own than it may differ by has the common ones too far
     back to meet any text of its size, and a block whose other texts are one class is settled. Of more than `bucket_rows`
     pairs a text those stay that the shingles which both have in common with any other, counted in parts, allow.
     """
-    members = scratch.store(owned.groupBy("id").agg(F.min("class").alias("class")).join(texts.select("id", "key", "size"), "id"))
+    members = owned.groupBy("id").agg(F.min("class").alias("class"), F.min("pos").alias("met"))
+    members = scratch.store(members.join(texts.select("id", "key", "size", "heads"), "id"))
     order = with_full_blocks(common, counts.filter(F.col("n") > bucket_rows))[0]
     later = rows.select("key", "__text").join(small_side(members.select("key"), written=True), "key", "left_semi").mapInArrow(
         _heads(shingle, similarity, order), "key binary, later array<bigint>").dropDuplicates(["key"])
-    placed = later.join(members, "key").select("id", "size", "class", F.posexplode("later").alias("pos", "block"))
+    # What a text has before its first such block it has in common with none whose first common shingle is such a block.
+    new = F.array_except("later", F.slice("heads", F.lit(1), F.col("met")))
+    new = F.transform(new, lambda b: F.struct((F.array_position("later", b) - 1).alias("pos"), b.alias("block")))
+    placed = later.join(members, "key").select("id", "size", "class", F.explode(new).alias("at"))
+    placed = placed.select("id", "size", "class", "at.pos", "at.block")
     placed = _reaching(scratch.store(placed), similarity, scratch)
     pairs = scratch.store(_paired(placed, placed, (F.col("class_a") < F.col("class_b")) & _able(similarity)).distinct())
     ends = _ends(pairs)
