@@ -532,6 +532,59 @@ def test_leaks_and_paraphrases(spark, empty):
     assert decontamination.find_leaks(docs, bench.filter("false"), ["doc_id"]).count() == 0
 
 
+def test_pairs_of_terms_count_all_windows():
+    rng = random.Random(4)
+    names = [f"w{i}".encode() for i in range(30)]
+    texts = [b" ".join(rng.choice(names + [b"other"] * 60) for _ in range(n)) for n in (0, 1, 15, 16, 17, 47, 48, 49, 200, 333)]
+    weight = np.array([0.0] * 3 + [1.0] * 27, np.float32)
+    want = Counter()
+    for text in texts:
+        words = decontamination.terms_of(text)
+        for start in range(0, len(words), 16):
+            held = Counter(int(w[1:]) for w in words[start : start + 48] if w != b"other" and w not in names[:3])
+            want.update({a * 30 + b: held[a] * held[b] for a in held for b in held if a < b})
+            want.update({a * 30 + a: n * n for a, n in held.items()})
+    batches = lambda: iter([pa.RecordBatch.from_arrays([pa.array(texts)], ["__text"])] * 2)
+    for held in (10, 1 << 20):
+        got = Counter()
+        for out in decontamination._together({w: i for i, w in enumerate(names)}, weight, held)(batches()):
+            for r in out.to_pylist():
+                got[r["pair"]] += r["n"]
+        twice = {key: 2 * n for key, n in want.items()}
+        assert got == twice
+
+
+def test_basis_is_fitted_on_all_documents(spark, monkeypatch):
+    """The table of pairs and the singular vectors follow from every row, however many there are."""
+    rng = random.Random(14)
+    names = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(names, k=rng.randrange(120))) for _ in range(2500)]
+    docs = spark.createDataFrame([(t,) for t in texts], "__text string").repartition(3)
+    items = [(1, [w.encode() for w in names[:40]], 30), (2, [w.encode() for w in names[20:]], 30)]
+    seen = []
+    basis_of = decontamination.latent_basis
+    monkeypatch.setattr(decontamination, "latent_basis", lambda *a: seen.append(a[0]) or basis_of(*a))
+    rules = decontamination.LeakRules(rank=10, passes=6, common=1.0)
+    vocabulary, weight, basis, *_ = decontamination._block_model(docs, items, rules, Scratch(spark))
+    windows = []
+    for text in [*texts, *(b" ".join(words).decode() for _, words, _ in items)]:
+        words = text.split()
+        for start in range(0, len(words), 16):
+            row = np.zeros(len(weight))
+            for w in words[start : start + 48]:
+                row[vocabulary[w.encode()]] += 1
+            windows.append(row)
+    windows = np.array(windows)
+    gram = np.zeros((len(weight),) * 2)
+    for r in seen[0].collect():
+        a, b = divmod(r["pair"], len(weight))
+        gram[a, b] = gram[b, a] = r["n"]
+    assert (gram == windows.T @ windows).all()
+    best = np.linalg.svd(windows * weight, compute_uv=False)
+    held = np.linalg.norm(windows * weight @ basis) ** 2
+    assert basis.shape[1] == 10 and held >= 0.98 * (best[:10] ** 2).sum()
+
+
 def test_items_longer_than_a_window_are_found(spark):
     """Verbatim and reworded copies of items of 49 to 500 words, at any place of the hosts."""
     rng = random.Random(21)
