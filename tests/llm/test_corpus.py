@@ -585,6 +585,17 @@ def test_basis_is_fitted_on_all_documents(spark, monkeypatch):
     assert basis.shape[1] == 10 and held >= 0.98 * (best[:10] ** 2).sum()
 
 
+def test_leaks_are_dropped_by_a_basis_of_all_documents(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"alpha beta w{i}") for i in range(2300)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
+    counts, basis_of = [], decontamination.latent_basis
+    monkeypatch.setattr(
+        decontamination, "latent_basis", lambda pairs, *a: counts.append({r["pair"]: r["n"] for r in pairs.collect()}) or basis_of(pairs, *a))
+    assert decontamination.drop_leaks(docs, items).count() <= 2300
+    # terms alpha, beta, gamma are 0, 1, 2: the first two stand together in every document and in the item
+    assert counts == [{0: 2301, 1: 2301, 2: 1, 4: 2301, 5: 1, 8: 1}]
+
+
 def test_items_longer_than_a_window_are_found(spark):
     """Verbatim and reworded copies of items of 49 to 500 words, at any place of the hosts."""
     rng = random.Random(21)
